@@ -18,6 +18,7 @@ from loomledger.plans.warehouse import Warehouse
 from loomledger.functions import columns as c
 from loomledger.session import shared_folder
 from loomledger.sources.envelope import pack, read_raw_events, write_raw_events
+from loomledger.sources.tables import build
 
 # Rotation of currency texts as they arrive.
 CURRENCY_TEXTS = ["GBP", "EUR", "CHF", "SEK", "NOK", "DKK", "ISK", "USD", "CAD", "usd", "EURO", ""]
@@ -428,3 +429,21 @@ def raw_events(spark: SparkSession, sf_dir: str, entity: str,
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(spark, lambda entity: raw_events(spark, sf_dir, entity), now=c.ntz(NOW))
+
+
+_BUILT: dict[tuple[str, str], Warehouse] = {}
+
+
+def built_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The warehouse with staging and marts written, built on first use."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BUILT:
+        _BUILT[key] = build(warehouse(spark, sf_dir), shared_folder(spark, "warehouse"))
+    return _BUILT[key]
+
+
+def fully_landed(spark: SparkSession, sf_dir: str) -> str:
+    """The landing folder with all nine entities present."""
+    for entity in ENTITIES:
+        raw_events(spark, sf_dir, entity)
+    return landing_of(spark, sf_dir)

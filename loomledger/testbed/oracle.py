@@ -55,7 +55,9 @@ def comparable(column: str, kind: str | None = None) -> str:
     if kind == "money":
         return f"CAST({quoted} AS DOUBLE) AS {quoted}"
     if kind == "double":
-        return f"floor(CAST({quoted} AS DOUBLE) * 10000.0::DOUBLE + 0.5::DOUBLE) / 10000.0::DOUBLE AS {quoted}"
+        value = f"CAST({quoted} AS DOUBLE)"
+        rounded = f"floor({value} * 10000.0::DOUBLE + 0.5::DOUBLE) / 10000.0::DOUBLE"
+        return f"CASE WHEN abs({value}) < 1e12 THEN {rounded} ELSE {value} END AS {quoted}"
     if kind == "ts":
         return f"strftime({quoted}, '%Y-%m-%d %H:%M:%S') AS {quoted}"
     if kind == "date":
@@ -421,6 +423,18 @@ FROM mrr WHERE status = 'active' AND customer_id IS NOT NULL AND billing_period_
 """
 
 
+# Ingestion times of all landed rows, with or without a key.
+CTES["f_subscriptions"] = f"SELECT {ing('event_id * 7 % 30', 'event_id % 86400 + CASE WHEN event_id % 40 = 0 THEN 1 ELSE 0 END', 'event_id % 20 = 7', 'event_id % 15')} AS _ingested_at FROM events"
+CTES["f_invoices"] = f"SELECT {ing('o_orderkey * 11 % 30', 'o_orderkey % 86400', 'o_orderkey % 20 = 3', 'o_orderkey % 15')} AS _ingested_at FROM orders"
+CTES["f_loan_applications"] = f"SELECT {ing('k * 13 % 30', 'k % 86400', 'k % 20 = 11', 'k % 15')} AS _ingested_at FROM (SELECT c_custkey * 3 + unnest(range(0, c_custkey % 3 + 1)) AS k FROM customer)"
+CTES["f_credit_facilities"] = f"SELECT {ing('o_orderkey * 17 % 30', 'o_orderkey % 86400 + CASE WHEN o_orderkey % 25 = 0 THEN 1 ELSE 0 END', 'o_orderkey % 20 = 13', 'o_orderkey % 15')} AS _ingested_at FROM orders"
+CTES["f_drawdowns"] = f"SELECT {ing(f'({_LINE} + l_partkey) % 30', '(l_suppkey * 101 + l_partkey) % 86400', 'l_partkey % 20 = 9', 'l_partkey % 15')} AS _ingested_at FROM lineitem"
+CTES["f_repayments"] = f"SELECT {ing(f'({_LINE} * 3 + l_partkey) % 30', '(l_suppkey * 103 + l_partkey) % 86400', 'l_partkey % 20 = 17', 'l_partkey % 15')} AS _ingested_at FROM lineitem"
+CTES["f_fx_transactions"] = f"SELECT {ing('event_id * 19 % 30', 'event_id % 86400', 'event_id % 20 = 1', 'event_id % 15')} AS _ingested_at FROM events"
+CTES["f_account_balances"] = "SELECT _ingested_at FROM s_account_balances"
+CTES["f_company_metrics"] = "SELECT _ingested_at FROM s_company_metrics"
+
+
 def _needed(sql: str) -> list[str]:
     """Names of the common parts a statement uses, in definition order."""
     found: set[str] = set()

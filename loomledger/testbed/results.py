@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 
 
 def four_places(value: Column) -> Column:
-    return F.floor(value * F.lit(10000.0) + F.lit(0.5)).cast("double") / F.lit(10000.0)
+    rounded = F.floor(value * F.lit(10000.0) + F.lit(0.5)).cast("double") / F.lit(10000.0)
+    return F.when(F.abs(value) < 1e12, rounded).otherwise(value)
 
 
 def comparable(df: DataFrame) -> DataFrame:
