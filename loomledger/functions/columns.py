@@ -21,14 +21,15 @@ PLAIN_DECIMAL = "decimal(18,3)"
 NTZ = "timestamp_ntz"
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
-# A date, an optional time, an optional zone that is dropped. Group 1 is
-# what gets cast; anything else must not reach the cast, because Spark also
-# reads '2026', '2026-01' and padded text as timestamps.
-_ISO = (
-    r"^(\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)?)"
-    r" ?(?:Z|[+-]\d{2}(?::?\d{2})?)?$"
-)
-_SLASHED_ISO = r"^(\d{4})/(\d{1,2})/(\d{1,2})"
+# A date alone, or a date and time with an optional zone that is dropped;
+# blanks may lead, and may trail a time. Group 1 is what gets cast; anything
+# else must not reach the cast, because Spark also reads '2026', '2026-01'
+# and padded dates as timestamps.
+_DAY = r"\d{4}-\d{1,2}-\d{1,2}"
+_TIME = r"\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?"
+_ZONE = r" ?(?:Z|[+-]\d{2}(?::?\d{2})?)?"
+_ISO = rf"^\s*({_DAY}(?=$)|{_DAY}[ T]{_TIME}(?={_ZONE}\s*$))"
+_SLASHED_ISO = r"^\s*(\d{4})/(\d{1,2})/(\d{1,2})"
 _ISO_PREFIX = r"^\d{4}-\d{2}-\d{2}"
 _EPOCH_SECONDS = r"^\d{10}$"
 # Java's number parser takes a trailing type letter ('12d'); text never means it.

@@ -61,7 +61,8 @@ def to_major_units(text_rows: DataFrame, entity: Entity) -> DataFrame:
     if not entity.fractional:
         return text_rows
     dated = text_rows.withColumn("_day", F.to_date("_ingested_at"))
-    flagged = dated.join(minor_unit_days(text_rows, entity), "_day", "left")
+    # One row per calendar day at most: a century of days is about a megabyte.
+    flagged = dated.join(F.broadcast(minor_unit_days(text_rows, entity)), "_day", "left")
     scaled = {
         name: F.when(F.col(f"_minor_{name}"), (c.to_number(F.col(name)) / 100.0).cast("string")).otherwise(F.col(name))
         for name in entity.fractional

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loomledger.plans import intermediate, marts
 from loomledger.plans.entities import ENTITIES
@@ -33,15 +34,18 @@ class Warehouse:
         self.raw = raw
         self.now = now
         self.tables = dict(tables or {})
+        self._lazy: dict[str, DataFrame] = {}
 
     def staged(self, entity: str) -> DataFrame:
         spec = ENTITIES[entity]
         return self._model(spec.table, lambda: stage(self.raw(entity), spec))
 
     def _model(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        if name not in self.tables:
-            self.tables[name] = build()
-        return self.tables[name]
+        if name in self.tables:
+            return self.tables[name]
+        if name not in self._lazy:
+            self._lazy[name] = build()
+        return self._lazy[name]
 
     def _mart(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         # A lazy mart is not remembered: facts then look keys up in staging,
@@ -51,7 +55,10 @@ class Warehouse:
     @cached_property
     def as_of(self) -> Column:
         subscriptions = ENTITIES["subscriptions"]
-        newest = newest_ingestion(self.raw("subscriptions"), subscriptions)
+        if subscriptions.table in self.tables:
+            newest = self.tables[subscriptions.table].agg(F.max("_ingested_at").alias("newest"))
+        else:
+            newest = newest_ingestion(self.raw("subscriptions"), subscriptions)
         return intermediate.as_of_instant(newest, self.now)
 
     # --- intermediate ---

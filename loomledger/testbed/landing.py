@@ -56,7 +56,7 @@ def pick(values: list[object], index: Column) -> Column:
 def date_text(ts: Column, form: Column) -> Column:
     """A timestamp in one of ten text forms."""
     return (
-        F.when(form == 0, F.unix_seconds(ts.cast("timestamp")).cast("string"))
+        F.when(form == 0, F.timestamp_diff("SECOND", F.expr(c.EPOCH), ts).cast("string"))
         .when(form == 1, F.date_format(ts, "MM/dd/yyyy"))
         .when(form == 2, F.lit("13/45/2026"))
         .when(form == 3, F.date_format(ts, "yyyy-MM-dd"))

@@ -22,9 +22,9 @@ def comparable(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             value = four_places(value.cast("double"))
         elif isinstance(field.dataType, (T.TimestampNTZType, T.TimestampType)):
-            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+            value = F.substring(value.cast("string"), 1, 19)
         elif isinstance(field.dataType, T.DateType):
-            value = F.date_format(value, "yyyy-MM-dd")
+            value = value.cast("string")
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             value = value.cast("bigint")
         outputs.append(value.alias(field.name))
