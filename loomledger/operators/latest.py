@@ -27,14 +27,21 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
     return rank_within(df, keys, order, 1).drop(_RANK)
 
 
-def latest_version(df: DataFrame, key: str) -> DataFrame:
+def latest_version(df: DataFrame, key: str, keep_null_key: bool = False) -> DataFrame:
     """Latest-wins per key: newest ingestion, then schema version.
 
     Batch id and payload hash complete the order, so re-runs and retried
-    tasks keep the same row.
+    tasks keep the same row. Rows without a key count as one key, which is
+    dropped unless ``keep_null_key``.
     """
     order = [F.desc_nulls_last(c) for c in ("_ingested_at", "_schema_version", "_batch_id", "_payload_hash")]
-    return first_by(df, [key], order)
+    ranked = rank_within(df, [key], order, 1)
+    if not keep_null_key:
+        # Tied to the rank on purpose: a plain IS NOT NULL would be pushed down
+        # to the scan and parse every payload a second time. The limit above has
+        # already cut the NULL key to one row per task.
+        ranked = ranked.filter(F.col(_RANK) + F.col(key).isNull().cast("int") == 1)
+    return ranked.drop(_RANK)
 
 
 def latest_and_prior(df: DataFrame, key: str, order: Sequence[Column],

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -56,6 +56,11 @@ class Entity:
     def table(self) -> str:
         return f"stg_{self.source}__{self.name}"
 
+    def only(self, *names: str) -> Entity:
+        """The same entity narrowed to its key and the named columns."""
+        kept = {name: cleanse for name, cleanse in self.columns.items() if name == self.key or name in names}
+        return replace(self, columns=kept)
+
     @property
     def dates(self) -> list[str]:
         return [name for name, cleanser in self.columns.items() if cleanser is c.parse_date]

@@ -23,16 +23,14 @@ def parsed(raw: DataFrame, entity: Entity) -> DataFrame:
 
 
 def cleansed(text_rows: DataFrame, entity: Entity) -> DataFrame:
-    """Text columns -> typed columns; rows without a required key are dropped."""
-    if entity.key_required:
-        text_rows = text_rows.filter(F.col(entity.key).isNotNull())
+    """Text columns -> typed columns."""
     typed = [cleanse(F.col(name)).alias(name) for name, cleanse in entity.columns.items()]
     return text_rows.select(*typed, *METADATA, "_batch_id", "_payload_hash")
 
 
 def stage(raw: DataFrame, entity: Entity) -> DataFrame:
     """The staging relation of one entity: one row per key."""
-    rows = latest_version(cleansed(parsed(raw, entity), entity), entity.key)
+    rows = latest_version(cleansed(parsed(raw, entity), entity), entity.key, not entity.key_required)
     return rows.select(*entity.columns, *METADATA)
 
 

@@ -83,7 +83,7 @@ def stage_strict(raw: DataFrame, entity: Entity) -> DataFrame:
     """Like the default staging, with all recoveries switched on."""
     text_rows = blanks_to_null(parsed_any_case(raw, entity), entity)
     rows = cleansed(to_major_units(text_rows, entity), with_any_dates(entity))
-    return latest_version(rows, entity.key).select(*entity.columns, *METADATA)
+    return latest_version(rows, entity.key, not entity.key_required).select(*entity.columns, *METADATA)
 
 
 def direct_rates(fx_transactions: DataFrame) -> DataFrame:

@@ -36,9 +36,21 @@ class Warehouse:
         self.tables = dict(tables or {})
         self._lazy: dict[str, DataFrame] = {}
 
-    def staged(self, entity: str) -> DataFrame:
+    def staged(self, entity: str, *columns: str) -> DataFrame:
+        """A staging relation; with ``columns``, at least those and the key.
+
+        Naming the columns matters while staging is not written: Catalyst does
+        not prune the fields of a payload that is parsed for several columns,
+        so only the named keys are asked for in the first place.
+        """
         spec = ENTITIES[entity]
-        return self._model(spec.table, lambda: stage(self.raw(entity), spec))
+        if spec.table in self.tables or not columns:
+            return self._model(spec.table, lambda: stage(self.raw(entity), spec))
+        narrow = spec.only(*columns)
+        return self._model(f"{spec.table}:{','.join(narrow.columns)}", lambda: stage(self.raw(entity), narrow))
+
+    def _usable_rates(self) -> DataFrame:
+        return self.staged("fx_transactions", "base_currency", "quote_currency", "rate", "transaction_date")
 
     def _model(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name in self.tables:
@@ -64,16 +76,22 @@ class Warehouse:
     # --- intermediate ---
 
     def arr_per_customer(self) -> DataFrame:
+        subscriptions = self.staged(
+            "subscriptions", "customer_id", "mrr_amount", "currency", "status", "billing_period_start",
+            "billing_period_end", "created_at")
         return self._model("int_arr_per_customer", lambda: intermediate.arr_per_customer(
-            self.staged("subscriptions"), self.staged("fx_transactions"), self.as_of))
+            subscriptions, self._usable_rates(), self.as_of))
 
     def facility_positions(self) -> DataFrame:
-        return self._model("facility_positions", lambda: intermediate.facility_positions(
-            self.staged("credit_facilities"), self.staged("drawdowns")))
+        facilities = self.staged(
+            "credit_facilities", "customer_id", "application_id", "facility_limit", "currency", "approval_date",
+            "maturity_date", "status", "interest_rate")
+        return intermediate.facility_positions(facilities, self.staged("drawdowns", "facility_id", "amount", "status"))
 
     def facility_utilization(self) -> DataFrame:
         return self._model("int_facility_utilization", lambda: intermediate.facility_utilization(
-            self.staged("credit_facilities"), self.staged("drawdowns")))
+            self.staged("credit_facilities", "customer_id", "facility_limit", "currency", "status"),
+            self.staged("drawdowns", "facility_id", "amount", "status")))
 
     def fx_rates_normalized(self) -> DataFrame:
         return self._model("int_fx_rates_normalized", lambda: intermediate.fx_rates_normalized(
@@ -81,7 +99,7 @@ class Warehouse:
 
     def repayment_schedule(self) -> DataFrame:
         return self._model("int_repayment_schedule", lambda: intermediate.repayment_schedule(
-            self.staged("credit_facilities")))
+            self.staged("credit_facilities", "customer_id", "currency", "repayment_schedule_json")))
 
     # --- marts ---
 
@@ -89,17 +107,25 @@ class Warehouse:
         """Keys of ``dim_customers``: read from it once it is written."""
         if "dim_customers" in self.tables:
             return self.tables["dim_customers"].select("customer_id")
-        return marts.customer_keys(self.staged("loan_applications"))
+        return marts.customer_keys(self.staged("loan_applications", "customer_id", "status"))
 
     def facility_lookup(self) -> DataFrame:
         """Keys and approval dates of ``dim_credit_facilities``."""
-        source = self._mart("dim_credit_facilities", lambda: self.staged("credit_facilities"))
+        source = self._mart("dim_credit_facilities", lambda: self.staged("credit_facilities", "approval_date"))
         return source.select("facility_id", "approval_date")
 
+    def facility_keys(self) -> DataFrame:
+        source = self._mart("dim_credit_facilities", lambda: self.staged("credit_facilities", "facility_id"))
+        return source.select("facility_id")
+
     def dim_customers(self) -> DataFrame:
         return self._mart("dim_customers", lambda: marts.dim_customers(
-            self.staged("loan_applications"), self.staged("credit_facilities"), self.staged("drawdowns"),
-            self.staged("account_balances"), self.staged("company_metrics"), self.arr_per_customer()))
+            self.staged("loan_applications", "customer_id", "company_name", "country_code", "industry", "status",
+                        "headcount_at_application", "valuation_at_application", "arr_at_application", "application_date"),
+            self.staged("credit_facilities", "customer_id", "facility_limit", "status"),
+            self.staged("drawdowns", "customer_id", "amount", "status"),
+            self.staged("account_balances", "customer_id", "currency", "balance"),
+            self.staged("company_metrics"), self.arr_per_customer()))
 
     def dim_credit_facilities(self) -> DataFrame:
         return self._mart("dim_credit_facilities", lambda: marts.dim_credit_facilities(
@@ -111,7 +137,7 @@ class Warehouse:
 
     def fct_repayments(self) -> DataFrame:
         return self._mart("fct_repayments", lambda: marts.fct_repayments(
-            self.staged("repayments"), self.facility_lookup(), self.customer_keys()))
+            self.staged("repayments"), self.facility_keys(), self.customer_keys()))
 
     def fct_fx_transactions(self) -> DataFrame:
         return self._mart("fct_fx_transactions", lambda: marts.fct_fx_transactions(
