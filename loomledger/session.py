@@ -31,6 +31,10 @@ def build_session(app_name: str = "loomledger", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+# Temporary folders of sessions that name no shared one, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path for tables a job writes and reads back.
 
@@ -40,6 +44,8 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
     if not base:
-        base = tempfile.mkdtemp(prefix="loomledger-")
-        spark.conf.set(CHECKPOINT_KEY, base)
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="loomledger-")
+        base = _LOCAL_FOLDERS[application]
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"

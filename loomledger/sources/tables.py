@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from loomledger.plans.entities import ENTITIES
 from loomledger.plans.marts import MART_NAMES
-from loomledger.plans.warehouse import Warehouse
+from loomledger.plans.warehouse import INTERMEDIATE_NAMES, Warehouse
 
 # Column names and types of the exported marts.
 MART_SCHEMAS = {
@@ -62,17 +62,21 @@ def materialise(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def build(warehouse: Warehouse, folder: str) -> Warehouse:
+def build(warehouse: Warehouse, folder: str, with_intermediate: bool = False) -> Warehouse:
     """Write all staging tables and marts under ``folder``.
 
     Each raw payload is parsed once per run; marts are planned over written
     staging, and facts look keys up in the written dimensions. Intermediate
-    models stay lazy views.
+    models stay lazy views unless asked for, which pays when checks read them
+    several times.
     """
     spark = warehouse.spark
     built = Warehouse(spark, warehouse.raw, warehouse.now)
     for name, entity in ENTITIES.items():
         built.tables[entity.table] = materialise(spark, warehouse.staged(name), f"{folder}/staging/{entity.table}")
+    if with_intermediate:
+        for name in INTERMEDIATE_NAMES:
+            built.tables[name] = materialise(spark, built.model(name), f"{folder}/intermediate/{name}")
     for mart in MART_NAMES:
         built.tables[mart] = materialise(spark, built.model(mart), f"{folder}/marts/{mart}")
     return built

@@ -397,7 +397,8 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
 
 # Landing folders of this session, by (application, tables folder).
 _LANDED: dict[tuple[str, str], str] = {}
-_LANDED_ENTITIES: set[tuple[str, str]] = set()
+# Scans of landed entities; a scan lists its day folders once.
+_SCANS: dict[tuple[str, str], DataFrame] = {}
 
 
 def landing_of(spark: SparkSession, sf_dir: str) -> str:
@@ -420,11 +421,13 @@ def raw_events(spark: SparkSession, sf_dir: str, entity: str,
     An entity is derived and landed on first use, then shared by all jobs of
     the session.
     """
-    landing = landing_of(spark, sf_dir)
-    if (landing, entity) not in _LANDED_ENTITIES:
-        write_raw_events(packed_events(spark, sf_dir, entity), landing, ENTITIES[entity])
-        _LANDED_ENTITIES.add((landing, entity))
-    return read_raw_events(spark, landing, ENTITIES[entity], since, until)
+    landing, spec = landing_of(spark, sf_dir), ENTITIES[entity]
+    if (landing, entity) not in _SCANS:
+        write_raw_events(packed_events(spark, sf_dir, entity), landing, spec)
+        _SCANS[landing, entity] = read_raw_events(spark, landing, spec)
+    if since is None and until is None:
+        return _SCANS[landing, entity]
+    return read_raw_events(spark, landing, spec, since, until)
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -438,7 +441,7 @@ def built_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse with staging and marts written, built on first use."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BUILT:
-        _BUILT[key] = build(warehouse(spark, sf_dir), shared_folder(spark, "warehouse"))
+        _BUILT[key] = build(warehouse(spark, sf_dir), shared_folder(spark, "warehouse"), with_intermediate=True)
     return _BUILT[key]
 
 

@@ -106,3 +106,38 @@ def test_hot_and_null_keys_stay_whole(spark):
     brute = sum(1 for i in range(30000) if i % 3 == 0 or (i % 3 == 2 and i % 500 < 250))
     assert counts[(True, False)] == brute
     assert counts[(False, True)] == 10000 and sum(counts.values()) == 30000
+
+
+def test_a_hot_parent_key_is_split_at_run_time(spark):
+    """Thresholds are lowered so that a small hot key counts as skew."""
+    from loomledger.plans import marts
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(0, 200000, numPartitions=16).select(
+            F.concat(F.lit("D"), F.col("id")).alias("drawdown_id"),
+            F.when(F.col("id") % 3 == 0, "F7").otherwise(F.concat(F.lit("F"), F.col("id") % 5000)).alias("facility_id"),
+            F.concat(F.lit("C"), F.col("id") % 900).alias("customer_id"),
+            F.lit(1).cast("decimal(18,2)").alias("amount"), F.lit("EUR").alias("currency"),
+            F.lit("2026-01-05").cast("timestamp_ntz").alias("drawdown_date"), F.lit(None).cast("string").alias("purpose"),
+            F.lit("completed").alias("status"))
+        facilities = spark.range(0, 4000).select(
+            F.concat(F.lit("F"), F.col("id")).alias("facility_id"), F.lit("2026-01-01").cast("timestamp_ntz").alias("approval_date"))
+        customers = spark.range(0, 800).select(F.concat(F.lit("C"), F.col("id")).alias("customer_id"))
+        fact = marts.fct_drawdowns(rows, facilities, customers)
+        total = fact.groupBy("is_orphaned").count()
+        counts = {row.is_orphaned: row["count"] for row in total.collect()}
+        final_plan = plan_of(total)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    linked = sum(1 for i in range(200000) if (i % 3 == 0 or i % 5000 < 4000) and i % 900 < 800)
+    assert counts == {False: linked, True: 200000 - linked}
+    assert "skew=true" in final_plan
