@@ -25,10 +25,9 @@ HEADLINE = [
     "stg_banking__fx_transactions", "stg_banking__account_balances", "stg_crm__company_metrics",
     "int_arr_per_customer", "int_facility_utilization", "int_fx_rates_normalized", "int_repayment_schedule",
     "dim_customers", "dim_credit_facilities", "fct_drawdowns", "fct_repayments", "fct_fx_transactions",
-    "q01_top_customers_by_limit", "q02_portfolio_by_status", "q03_drawdowns_per_month", "q04_repayment_lateness",
-    "q05_fx_by_pair", "q06_limit_concentration", "q12_orphan_census", "q13_repayment_watchlist",
-    "q14_drawn_per_company", "q22_arr_to_limit", "q23_invoiced_revenue", "q24_arr_by_month",
-    "strict_staging", "parse_date", "clean_amount", "gen_drawdowns",
+    "q01_top_customers_by_limit", "q03_drawdowns_per_month", "q04_repayment_lateness", "q05_fx_by_pair",
+    "q12_orphan_census", "q13_repayment_watchlist", "q24_arr_by_month",
+    "strict_staging", "parse_date", "gen_drawdowns",
 ]
 
 
