@@ -11,6 +11,7 @@ from loomledger.llm.common import table
 from loomledger.llm.exact_dedup import exact_duplicates
 from loomledger.llm.mixing import allocate
 from loomledger.llm.packing import pack_documents
+from loomledger.llm.simhash import simhash_components
 from loomledger.llm.token_counts import token_counts
 
 
@@ -33,11 +34,17 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("mix_target").alias("target"), F.col("mix_taken").alias("taken"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = simhash_components(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_source_mixing": op6_source_mixing,
+    "op7_simhash": op7_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
