@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomledger.llm.ann import nearest
 from loomledger.llm.common import table
 from loomledger.llm.exact_dedup import exact_duplicates
+from loomledger.llm.line_dedup import delete_repeated_lines
 from loomledger.llm.mixing import allocate
 from loomledger.llm.packing import pack_documents
 from loomledger.llm.simhash import simhash_components
@@ -19,6 +21,11 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_one_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
@@ -27,6 +34,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return delete_repeated_lines(docs).select("doc_id", "n_lines", "deleted_lines", "text")
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return allocate(docs).select(
@@ -41,8 +53,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
+    "op2_one_bit_codes": op2_one_bit_codes,
     "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_line_dedup": op5_line_dedup,
     "op6_source_mixing": op6_source_mixing,
     "op7_simhash": op7_simhash,
 }
