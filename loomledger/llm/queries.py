@@ -14,6 +14,7 @@ from loomledger.llm.line_dedup import delete_repeated_lines
 from loomledger.llm.mixing import allocate
 from loomledger.llm.packing import pack_documents
 from loomledger.llm.simhash import simhash_components
+from loomledger.llm.suffix_tree import score_documents
 from loomledger.llm.token_counts import token_counts
 
 
@@ -51,6 +52,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_one_bit_codes": op2_one_bit_codes,
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
     "op6_source_mixing": op6_source_mixing,
     "op7_simhash": op7_simhash,
+    "op10_suffix_tree": op10_suffix_tree,
 }
 
 ORACLE_SQL: dict[str, str] = {
