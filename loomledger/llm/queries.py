@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from loomledger.llm.ann import nearest
 from loomledger.llm.common import table
 from loomledger.llm.exact_dedup import exact_duplicates
+from loomledger.llm.langid import document_rows, identify, page_rows
 from loomledger.llm.line_dedup import delete_repeated_lines
 from loomledger.llm.mixing import allocate
 from loomledger.llm.packing import pack_documents
+from loomledger.llm.quality import quality
 from loomledger.llm.simhash import simhash_components
 from loomledger.llm.suffix_tree import score_documents
 from loomledger.llm.token_counts import token_counts
@@ -52,6 +54,18 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = document_rows(table(spark, sf_dir, "documents")).union(page_rows(table(spark, sf_dir, "pages")))
+    found = identify(rows)
+    of = lambda part: F.when(F.col("part") == part, F.col("id"))
+    return found.select(of("document").alias("doc_id"), of("page").alias("page_id"), "declared", "suffix", "host", "trigrams",
+                        "language", "confidence", F.col("accepted").alias("kept"))
+
+
 def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
@@ -64,6 +78,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
     "op6_source_mixing": op6_source_mixing,
     "op7_simhash": op7_simhash,
+    "op8_quality": op8_quality,
+    "op9_language_id": op9_language_id,
     "op10_suffix_tree": op10_suffix_tree,
 }
 
