@@ -1,0 +1,258 @@
+"""Mixing, neighbours, language models, quality, language and the pipeline."""
+
+import collections
+import math
+import os
+import re
+import sys
+from zlib import crc32
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(__file__))
+from helpers import awkward_rows, clashing, docs  # noqa: E402
+
+import corpus_pipeline  # noqa: E402
+from loomledger.llm.ann import encode, nearest  # noqa: E402
+from loomledger.llm.common import table  # noqa: E402
+from loomledger.llm.langid import document_rows, identify, keep_identified, page_rows  # noqa: E402
+from loomledger.llm.mixing import Recipe, allocate, fill_targets, mixed_rows, split_quotas  # noqa: E402
+from loomledger.llm.quality import quality, train, word_keys  # noqa: E402
+from loomledger.llm.suffix_tree import SuffixAutomaton, kept_contexts, score_documents, string_counts  # noqa: E402
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+# Mixing
+
+def test_targets_fill_up_to_their_caps():
+    targets = fill_targets([100, 10, 100], Recipe())
+    assert targets[1] == 20 and targets[0] == pytest.approx(295 * 0.6 + 10 * 0.6 - 0.0, rel=0.2)
+    assert sum(targets) == pytest.approx(315) and all(t <= 2 * s for t, s in zip(targets, [100, 10, 100], strict=True))
+
+
+def test_splitting_tree_is_exact_and_repeatable():
+    leaves = split_quotas([50, 0, 7, 300], 8, 3)
+    assert leaves.sum(axis=0).tolist() == [50, 0, 7, 300] and (leaves >= 0).all()
+    assert abs(leaves.sum(axis=1) - 357 / 8).max() <= 3
+    assert (split_quotas([50, 0, 7, 300], 8, 3) == leaves).all()
+
+
+def test_mix_meets_targets(spark):
+    rows = awkward_rows()
+    taken = allocate(clashing(docs(spark, rows), ["mix_size", "copy", "shard", "_block", "words"])).collect()
+    assert len(taken) == len(rows)
+    sizes = collections.Counter()
+    for r in rows:
+        sizes[r[3]] += len(WORD.findall(r[1] or ""))
+    names = sorted((s for s in sizes if s is not None)) + [None]
+    targets = dict(zip(names, fill_targets([sizes[s] for s in names], Recipe()), strict=True))
+    sums = collections.Counter()
+    for r in taken:
+        assert r.mix_size == len(WORD.findall(r.text or "")) and r.mix_source_size == sizes[r.source]
+        assert r.mix_target == pytest.approx(targets[r.source]) and 0 <= r.mix_taken <= 2 * r.mix_size
+        assert r.mix_taken == sum(d.words for d in r.mix_draws)
+        sums[r.source] += r.mix_taken
+    repeated = max(len(WORD.findall(r[1] or "")) for r in rows if rows.count(r) > 1)
+    assert all(abs(sums[s] - targets[s]) <= 1 + 2 * repeated for s in names)
+    again = allocate(docs(spark, rows).repartition(5)).collect()
+    as_rows = lambda got: sorted(((r.doc_id or -1, r.mix_size, r.mix_taken) for r in got))
+    assert as_rows(again) == as_rows(taken)
+    mixed = mixed_rows(docs(spark, rows)).collect()
+    assert sum(len(WORD.findall(r.text or "")) for r in mixed) == sum(sums.values())
+    assert len({r.shard for r in mixed}) > 8
+
+
+def test_mix_of_an_empty_table(spark):
+    assert allocate(docs(spark, [])).collect() == [] and mixed_rows(docs(spark, [])).collect() == []
+
+
+# Nearest neighbours
+
+def brute_neighbours(rows, queries, k):
+    good = [(i, np.array(v, dtype=float)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    out = {}
+    for q, a in good:
+        if q in queries:
+            scored = [(-round(float(a @ b / np.linalg.norm(a) / np.linalg.norm(b)), 12), i) for i, b in good if i != q and len(b) == len(a)]
+            out[q] = [i for _, i in sorted(scored)[:k]]
+    return out
+
+
+def test_neighbours_equal_brute_force_with_awkward_rows(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.standard_normal(24).tolist()) for i in range(400)]
+    rows += [(400 + i, rows[0][1]) for i in range(8)]
+    rows += [(500, None), (501, []), (502, [0.0] * 24), (503, [float("nan")] + [1.0] * 23), (504, [None] + [1.0] * 23),
+             (505, [float("inf")] * 24), (506, [1.0, 2.0]), (507, [2.0, 1.0]), (None, [1.0] * 24)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    rows32 = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
+    asked = {i for i, _ in rows if i is not None and i % 20 == 0} | {506}
+    found = nearest(clashing(df, ["rank", "score", "code"]), df.filter(F.col("vec_id").isin(*asked)), 5).collect()
+    got = collections.defaultdict(dict)
+    for r in found:
+        got[r.query_id][r["rank"]] = r.vec_id
+    expected = brute_neighbours(rows32, asked, 5)
+    assert {q: [v[i + 1] for i in range(len(v))] for q, v in got.items()} == expected
+
+
+def test_recall_on_the_given_vectors(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    rows = [(r.vec_id, r.embedding) for r in vectors.collect()]
+    asked = {i for i, _ in rows if i % 50 == 0}
+    expected = brute_neighbours(rows, asked, 5)
+    found = nearest(vectors, vectors.filter("vec_id % 50 = 0"), 5).collect()
+    hits = sum(r.vec_id in expected[r.query_id] for r in found)
+    assert hits >= 0.9 * sum(map(len, expected.values()))
+
+
+def test_no_vectors_no_neighbours(spark):
+    df = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert nearest(df, df, 5).collect() == []
+    bits, scalar = encode(np.eye(9))
+    assert bits.shape == (9, 2) and (scalar <= 1).all()
+
+
+# Language-model scores
+
+def base_brute(rows):
+    texts = [WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in r[1] or "")) + [None] for r in rows]
+    held = [crc32(("" if r[0] is None else str(r[0])).encode()) % 7 == 2 for r in rows]
+    counts = collections.Counter(w for t, h in zip(texts, held, strict=True) if not h for w in t)
+    n, v = sum(counts.values()), len(counts)
+    return sorted((r[0] is None, r[0] or 0, h, len(t), sum(counts[w] > 0 for w in t), n,
+                   round(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in t), 6)) for r, t, h in zip(rows, texts, held, strict=True))
+
+
+def test_word_baseline_equals_brute_force(spark):
+    rows = awkward_rows()
+    got = score_documents(clashing(docs(spark, rows), ["score", "held_out", "batch"])).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == base_brute(rows)
+    assert all(r.score < 0 for r in got)
+
+
+def test_tree_beats_the_baseline_on_held_out_texts(spark):
+    held = [r for r in score_documents(table(spark, "/root/testdata/sf0.1", "documents")).collect() if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_scores_of_an_empty_table(spark):
+    assert score_documents(docs(spark, [])).collect() == []
+
+
+def test_automaton_is_a_distribution_and_takes_the_longest_context(spark):
+    rows = spark.createDataFrame([("ab abc abd " * 50,), ("bca " * 60,)], "text string").selectExpr("1L AS doc_id", "false AS held_out", "text")
+    kept = kept_contexts(string_counts(rows).cache(), 1e-4, 1000)
+    automaton = SuffixAutomaton.build(kept)
+    seen = len(kept[0])
+    mass = 10.0 ** automaton.scores.astype(float)
+    total = mass[:, :-1].sum(axis=1) + mass[:, -1] * (256 - seen)
+    assert np.allclose(total, 1, atol=1e-4)
+    contexts = {(depth, c) for depth, frame in enumerate(kept) for c in frame["context"]}
+    order = {}
+    for depth in range(len(kept)):
+        for c in sorted(x for d, x in contexts if d == depth):
+            order[depth, c] = len(order)
+    text = b"ab abc abd bca bca ab"
+    state = 0
+    for i, byte in enumerate(text):
+        state = automaton.goes[state, automaton.classes[byte]]
+        past = text[:i + 1]
+        longest = max(d for d in range(min(len(kept) - 1, len(past)) + 1) if (d, int.from_bytes(past[len(past) - d:], "big")) in order)
+        assert automaton.table[state] == order[longest, int.from_bytes(past[len(past) - longest:], "big")]
+
+
+# Quality
+
+def test_kneser_ney_is_a_distribution(spark):
+    rows = docs(spark).filter("doc_id < 20")
+    model = train(rows)
+    words = sorted({w for r in rows.collect() for w in r.text.lower().split()})
+    for context in (["the", "of"], ["never", "seen"], [words[0], words[1]]):
+        texts = [" ".join([*context, w]) for w in words]
+        total = 0.0
+        for text in texts:
+            keys, _ = word_keys([text])
+            total += math.exp(model.log_probabilities(keys, np.array([4]))[0])
+        keys, _ = word_keys([" ".join(context)])
+        total += math.exp(model.log_probabilities(keys, np.array([4]))[0])  # the end mark
+        assert total + model.unknown == pytest.approx(1, abs=0.02)
+
+
+def test_quality_separates_the_labelled_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = table(spark, sf, "labels")
+    judged = quality(table(spark, sf, "documents"), labels).join(labels, "doc_id").collect()
+    good, bad = [r for r in judged if r.quality == 1], [r for r in judged if r.quality == 0]
+    assert sum(r.kept for r in good) >= 0.97 * len(good) and sum(not r.kept for r in bad) >= 0.8 * len(bad)
+
+
+def test_quality_takes_awkward_rows(spark):
+    rows = awkward_rows()
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)] + [(2, 1, 0), (41, 0, 1), (None, 1, None), (42, None, None)],
+                                   "doc_id long, quality int, toxic int")
+    assert quality(clashing(docs(spark, rows), ["kept", "threshold", "perplexity"]), labels).count() == len(rows)
+    assert quality(docs(spark, []), labels).collect() == []
+    assert all(r.kept for r in quality(docs(spark, rows), labels.limit(0)).collect())
+
+
+# Language
+
+def test_languages_of_documents_and_pages(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = document_rows(table(spark, sf, "documents")).union(page_rows(table(spark, sf, "pages")))
+    got = identify(rows).collect()
+    assert len(got) == table(spark, sf, "documents").count() + table(spark, sf, "pages").count()
+    assert sum(r.language == r.declared for r in got) >= 0.97 * len(got)
+
+
+def test_text_overrules_a_wrong_declaration(spark):
+    sf = "/root/testdata/sf0.01"
+    base = table(spark, sf, "documents")
+    swapped = base.withColumn("lang", F.when(F.col("doc_id") % 10 == 0, F.lit("fr")).otherwise(F.col("lang")))
+    truth = {r.doc_id: r.lang for r in base.collect()}
+    got = [r for r in identify(document_rows(swapped)).collect() if r.id % 10 == 0 and r.trigrams > 300]
+    assert sum(r.language == truth[r.id] for r in got) >= 0.85 * len(got)
+
+
+def test_page_evidence(spark):
+    pages = spark.createDataFrame(
+        [(1, "HTTP://U@Www.Site.DE:80/x", "<!doctype html><HTML class='a' lang='De-AT'><script>let x='<p>'</script><p>der <b>Hund</b>"),
+         (2, None, None), (3, "not an address", "<html><body>text")], "page_id long, url string, html string")
+    rows = {r.id: r for r in page_rows(pages).collect()}
+    assert (rows[1].declared, rows[1].suffix, rows[1].host) == ("de", "de", "www.site.de")
+    assert rows[1].text.split() == ["der", "Hund"] and rows[2].host is None and rows[3].declared is None
+
+
+def test_language_takes_awkward_rows(spark):
+    rows = awkward_rows()
+    got = identify(document_rows(docs(spark, rows))).collect()
+    assert len(got) == len(rows)
+    assert all(r.language == "und" and not r.accepted for r in got if r.id in (200, 201, 202, 203))
+    kept = keep_identified(clashing(docs(spark, rows), ["part", "accepted"]))
+    assert {200, 201, 202, 203}.isdisjoint({r.doc_id for r in kept.collect()})
+    assert keep_identified(docs(spark, [])).collect() == []
+
+
+# The pipeline
+
+def test_pipeline_stages_keep_the_columns_of_documents(spark, sf_dir, tmp_path):
+    documents = table(spark, sf_dir, "documents")
+    current = documents
+    counts = [documents.count()]
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, current, sf_dir).write.parquet(str(tmp_path / str(number)))
+        current = spark.read.parquet(str(tmp_path / str(number)))
+        counts.append(current.count())
+        if number < len(corpus_pipeline.STAGES) - 1:
+            assert current.columns == documents.columns
+    assert counts[1] >= counts[2] >= counts[3] > 0 and counts[5] >= counts[4]
+
+
+def test_pipeline_of_awkward_rows(spark, tmp_path):
+    docs(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    docs(spark, []).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
