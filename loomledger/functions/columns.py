@@ -38,13 +38,19 @@ _TYPED_NUMBER = r"[0-9.]\s*[dDfF]\s*$"
 
 # --- JSON payload ---------------------------------------------------------
 
+#: Where ``json_struct`` puts a payload that is not valid JSON.
+MALFORMED = "_malformed"
+
+
 def json_struct(payload: Column, fields: Iterable[str]) -> Column:
     """Parse the payload once into a struct of strings.
 
     One pass per row instead of one path lookup per field. Keys are matched
-    case-sensitively; a missing key, JSON null or malformed text gives NULL.
+    case-sensitively; a missing key or JSON null gives NULL. Malformed text is
+    kept whole in the field ``MALFORMED``.
     """
-    return F.from_json(payload, ", ".join(f"`{name}` string" for name in fields))
+    schema = ", ".join(f"`{name}` string" for name in [*fields, MALFORMED])
+    return F.from_json(payload, schema, {"columnNameOfCorruptRecord": MALFORMED})
 
 
 def json_text(payload: Column, field: str, default: str | None = None) -> Column:

@@ -40,8 +40,11 @@ def merge_by_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def broken_links(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Child rows whose non-null key has no parent."""
-    parents = parent.select(F.col(parent_key).alias("__parent_key"))
+    """Child rows whose non-null key has no parent.
+
+    Parent keys are made distinct first, which a hot key crosses once per task.
+    """
+    parents = parent.select(F.col(parent_key).alias("__parent_key")).distinct()
     return (
         child.filter(F.col(child_key).isNotNull())
         .join(parents, F.col(child_key) == F.col("__parent_key"), "left_anti")

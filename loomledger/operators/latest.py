@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomledger.functions.columns import MALFORMED
+
 _RANK = "__rank"
 
 
@@ -35,7 +37,13 @@ def latest_version(df: DataFrame, key: str, keep_null_key: bool = False) -> Data
     dropped unless ``keep_null_key``.
     """
     order = [F.desc_nulls_last(c) for c in ("_ingested_at", "_schema_version", "_batch_id", "_payload_hash")]
-    ranked = rank_within(df, [key], order, 1)
+    if MALFORMED in df.columns:
+        # Rows whose payload does not parse rank behind all others and then go, tied to the rank as below.
+        malformed = F.col(MALFORMED).isNotNull().cast("int")
+        ranked = rank_within(df, [key], [malformed.asc(), *order], 1)
+        ranked = ranked.filter(F.col(_RANK) + malformed == 1).drop(MALFORMED)
+    else:
+        ranked = rank_within(df, [key], order, 1)
     if not keep_null_key:
         # Tied to the rank on purpose: a plain IS NOT NULL would be pushed down
         # to the scan and parse every payload a second time. The limit above has

@@ -282,9 +282,10 @@ def run_summary(run: DataFrame) -> DataFrame:
         F.count_if(F.col("status") == "skipped").alias("skipped"))
 
 
-def run_messages(run: DataFrame, first: int = 20) -> DataFrame:
-    """The first messages of failed or warning nodes, failures before warnings."""
+def run_messages(run: DataFrame, first: int | None = None) -> DataFrame:
+    """Messages of failed or warning nodes, failures before warnings; all, or the ``first``."""
     noted = run.filter(F.col("status").isin(*_FAILED, "warn"))
-    return noted.orderBy(F.col("status") == "warn", "name").limit(first).select(
+    ordered = noted.orderBy(F.col("status") == "warn", "name")
+    return (ordered if first is None else ordered.limit(first)).select(
         F.concat_ws(": ", "name", F.when(F.col("status") == "warn", "warn").otherwise(
             F.coalesce("message", "status"))).alias("message"))

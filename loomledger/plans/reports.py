@@ -106,7 +106,7 @@ def drawdown_history(drawdowns: DataFrame, customer_id: str) -> DataFrame:
     return (
         linked(drawdowns).filter(F.col("customer_id") == customer_id)
         .select("drawdown_date", "amount", "currency", "status")
-        .orderBy(F.asc_nulls_last("drawdown_date"))
+        .orderBy(*[F.asc_nulls_last(name) for name in ("drawdown_date", "amount", "currency", "status")])
     )
 
 

@@ -44,14 +44,20 @@ def blanks_to_null(text_rows: DataFrame, entity: Entity) -> DataFrame:
     return text_rows.withColumns({name: c.blank_to_null(F.col(name)) for name in entity.columns})
 
 
-def minor_unit_days(text_rows: DataFrame, entity: Entity) -> DataFrame:
+#: A day needs so many amounts before their all being whole counts as evidence.
+MIN_EVIDENCE = 2
+
+
+def minor_unit_days(text_rows: DataFrame, entity: Entity, min_evidence: int = MIN_EVIDENCE) -> DataFrame:
     """Per ingestion day, which fractional amounts came as whole numbers only.
 
-    One value says nothing, so the decision is taken per batch: one row per
-    day, aggregated map-side.
+    One value says nothing, so the decision is taken per day, and only where it
+    has ``min_evidence`` values; other days keep their amounts. One row per day,
+    aggregated map-side.
     """
     def whole(name: str) -> Column:
-        return F.coalesce(F.bool_and(st.is_whole_text(F.col(name))), F.lit(False)).alias(f"_minor_{name}")
+        seen = F.count(F.col(name)) >= min_evidence
+        return F.coalesce(seen & F.bool_and(st.is_whole_text(F.col(name))), F.lit(False)).alias(f"_minor_{name}")
 
     return text_rows.groupBy(F.to_date("_ingested_at").alias("_day")).agg(*[whole(n) for n in entity.fractional])
 

@@ -24,6 +24,8 @@ def build_session(app_name: str = "loomledger", master: str | None = None, **con
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Also where an aggregate stands right on the join, at the price of one more exchange.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         **{key.replace("__", "."): value for key, value in conf.items()},
     }
     for key, value in settings.items():
@@ -39,11 +41,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path for tables a job writes and reads back.
 
     The cluster names a folder every executor can reach in
-    ``spark.checkpoint.dir``; only where that is unset (local tests) is a
-    temporary folder used.
+    ``spark.checkpoint.dir``. Where that is unset, a temporary folder is used in
+    local mode, where one machine does all work; anywhere else it is an error.
     """
     base = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         application = spark.sparkContext.applicationId
         if application not in _LOCAL_FOLDERS:
             _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="loomledger-")

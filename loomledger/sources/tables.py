@@ -107,10 +107,15 @@ def export_by_day(df: DataFrame, path: str, day_of: str) -> None:
 
 
 def register_external(spark: SparkSession, mart: str, path: str, table: str | None = None) -> DataFrame:
-    """Register an exported mart as an external table after checking its files."""
+    """Register an exported mart as an external table after checking its files.
+
+    A table of that name is replaced, so that it reads the folder named last;
+    files are never dropped with an external table.
+    """
     check_schema(mart, spark.read.parquet(path).schema)
     name = table or mart
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({MART_SCHEMAS[mart]}) USING PARQUET LOCATION '{path}'"
+        f"CREATE TABLE {name} ({MART_SCHEMAS[mart]}) USING PARQUET LOCATION '{path}'"
     )
     return spark.table(name)

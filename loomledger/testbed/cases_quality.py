@@ -79,7 +79,7 @@ register("dq_run_summary", lambda s, d: q.run_summary(q.as_run_results(_run(_ALL
 register("dq_run_messages", lambda s, d: q.run_messages(q.as_run_results(_run(_ALL)(s, d))), "message",
          "SELECT test || '_' || model || '_' || \"column\" || CASE WHEN status = 'warn' THEN ': warn' "
          f"ELSE ': ' || failures || ' failing rows' END AS message FROM ({_expected(_ALL)}) WHERE status <> 'pass' "
-         "ORDER BY status = 'warn', test || '_' || model || '_' || \"column\" LIMIT 20")
+         "ORDER BY status = 'warn', test || '_' || model || '_' || \"column\"")
 
 
 def _duplicates_before_dedup(s, d: str) -> DataFrame:

@@ -32,12 +32,15 @@ def register(name: str, build: Build, columns: str = "", body: str | None = None
 
 
 def load() -> dict[str, Query]:
-    from loomledger.testbed import cases_models  # noqa: F401  (registers on import)
-
-    for module in ("cases_columns", "cases_operators", "cases_quality", "cases_storage", "cases_strict", "cases_generate"):
-        try:
-            __import__(f"loomledger.testbed.{module}")
-        except ModuleNotFoundError as error:
-            if error.name != f"loomledger.testbed.{module}":
-                raise
+    """All queries; the case modules register theirs on import."""
+    from loomledger.testbed import (  # noqa: F401
+        cases_columns,
+        cases_generate,
+        cases_models,
+        cases_operators,
+        cases_quality,
+        cases_storage,
+        cases_strict,
+    )
+
     return CATALOG

@@ -117,11 +117,9 @@ class Tables:
         self.sf_dir = sf_dir
 
     def __call__(self, name: str) -> DataFrame:
+        # A file with a single row group is read by one task; spread it before the JSON work.
         table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        slots = self.spark.sparkContext.defaultParallelism
-        # A file with a single row group is read by one task; spread it before
-        # the JSON work. Tables with splits enough are left alone.
-        return table if table.rdd.getNumPartitions() >= slots else table.repartition(slots)
+        return table.repartition(self.spark.sparkContext.defaultParallelism)
 
 
 # --- one function per entity ----------------------------------------------

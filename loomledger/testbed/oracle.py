@@ -49,17 +49,17 @@ _KIND_OF = {name: kind for kind, names in KINDS.items() for name in names}
 
 
 def comparable(column: str, kind: str | None = None) -> str:
-    """Money as DOUBLE, doubles to four places, times as text."""
+    """Money as DOUBLE, doubles to ten significant digits, times as text to the microsecond."""
     kind = kind or _KIND_OF.get(column)
     quoted = f'"{column}"'
     if kind == "money":
         return f"CAST({quoted} AS DOUBLE) AS {quoted}"
     if kind == "double":
         value = f"CAST({quoted} AS DOUBLE)"
-        rounded = f"floor({value} * 10000.0::DOUBLE + 0.5::DOUBLE) / 10000.0::DOUBLE"
-        return f"CASE WHEN abs({value}) < 1e12 THEN {rounded} ELSE {value} END AS {quoted}"
+        rounded = f"CAST(printf('%.9e', {value}) AS DOUBLE)"
+        return f"CASE WHEN isfinite({value}) THEN {rounded} ELSE {value} END AS {quoted}"
     if kind == "ts":
-        return f"strftime({quoted}, '%Y-%m-%d %H:%M:%S') AS {quoted}"
+        return f"strftime({quoted}, '%Y-%m-%d %H:%M:%S.%f') AS {quoted}"
     if kind == "date":
         return f"strftime({quoted}, '%Y-%m-%d') AS {quoted}"
     return quoted

@@ -1,5 +1,6 @@
-"""Make a result comparable across engines: money as double, doubles to four
-places, times as text. Only the registered queries use this, at their edge."""
+"""Make a result comparable across engines: money as double, doubles to ten
+significant digits, times as text to the microsecond. Only the registered queries
+use this, at their edge."""
 
 from __future__ import annotations
 
@@ -8,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def four_places(value: Column) -> Column:
-    rounded = F.floor(value * F.lit(10000.0) + F.lit(0.5)).cast("double") / F.lit(10000.0)
-    return F.when(F.abs(value) < 1e12, rounded).otherwise(value)
+def ten_digits(value: Column) -> Column:
+    finite = F.abs(value) < float("inf")
+    return F.when(finite, F.format_string("%.9e", value).try_cast("double")).otherwise(value)
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -20,9 +21,9 @@ def comparable(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.DecimalType):
             value = value.cast("double")
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            value = four_places(value.cast("double"))
+            value = ten_digits(value.cast("double"))
         elif isinstance(field.dataType, (T.TimestampNTZType, T.TimestampType)):
-            value = F.substring(value.cast("string"), 1, 19)
+            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(field.dataType, T.DateType):
             value = value.cast("string")
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
