@@ -106,13 +106,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spot = F.struct("doc_id", "doc_hash", "at_line")
     shared = (windows.groupBy("fp").agg(F.min(spot).alias("a"), F.max(spot).alias("b"))
               .filter(~F.col("a").eqNullSafe(F.col("b"))).select("fp"))
-    near = windows.join(shared, "fp", "left_semi")
-    origin = (near.groupBy(*_KEYS)
+    origin = (windows.groupBy(*_KEYS)
               .agg(F.min(F.struct("doc_id", "doc_hash", "first_line", "last_line")).alias("origin"), F.count(F.lit(1)).alias("n"))
-              .filter("n > 1").drop("n"))
+              .filter("n > 1").drop("n").join(shared, "fp", "left_semi"))
     same = F.col("doc_id").eqNullSafe(F.col("origin.doc_id")) & (F.col("doc_hash") == F.col("origin.doc_hash"))
     later = ~same | (F.col("first_line") > F.col("origin.last_line"))
-    return (near.join(origin, _KEYS).filter(later)
+    return (windows.join(origin, _KEYS).filter(later)
             .groupBy("doc_id", "doc_hash").agg(F.collect_set(F.struct("first_line", "last_line")).alias("spans")))
 
 
