@@ -29,7 +29,7 @@ from loomledger.llm.common import own_columns, require_columns, settle, ship_pac
 
 LANGUAGES = ("de", "en", "es", "fr")
 UNKNOWN = "und"
-SAMPLE = 2000
+SAMPLE = 1000
 BUCKETS = 1 << 16
 #: Weight of one trigram's evidence, and the most that the text can say in total.
 TEMPER, TEXT_LIMIT = 0.25, 60.0
