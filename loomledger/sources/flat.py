@@ -1,8 +1,9 @@
-"""Flat per-entity tables whose column names and types differ between days."""
+"""Flat per-entity tables whose column names and types differ between batches."""
 
 from __future__ import annotations
 
 from functools import reduce
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,50 +12,72 @@ from pyspark.sql import types as T
 from loomledger.plans.entities import Entity
 from loomledger.sources.envelope import DAY_COLUMNS, with_day
 
+# A written file's name ends its batch label with the code of its schema.
+_CODE = r"_schema_([0-9a-f]{8})[^/]*$"
+
 
 def flat_path(folder: str, entity: Entity) -> str:
     return f"{folder}/{entity.source}/{entity.name}"
 
 
-def write_flat(rows: DataFrame, folder: str, entity: Entity) -> None:
-    """Append entity rows under their ingestion day, Snappy-compressed."""
+def schema_code(schema: T.StructType) -> str:
+    """Eight hex digits that stand for the names and types of a file's columns."""
+    return f"{crc32(','.join(f'{field.name}:{field.dataType.simpleString()}' for field in schema).encode()):08x}"
+
+
+def write_flat(rows: DataFrame, folder: str, entity: Entity, replace: bool = True) -> None:
+    """Write entity rows under their ingestion day, Snappy-compressed.
+
+    The days present are replaced, so a rerun changes nothing; ``replace=False``
+    adds a further batch to its days instead. The schema's code goes into the
+    file names, by which the reader groups files.
+    """
+    dated = with_day(rows)
+    code = schema_code(T.StructType([field for field in dated.schema if field.name not in DAY_COLUMNS]))
     (
-        with_day(rows).hint("rebalance", *DAY_COLUMNS)
-        .write.mode("append").option("compression", "snappy")
-        .option("mapreduce.output.basename", f"{entity.source}_{entity.name}_batch")
+        dated.hint("rebalance", *DAY_COLUMNS)
+        .write.mode("overwrite" if replace else "append").option("partitionOverwriteMode", "dynamic")
+        .option("compression", "snappy")
+        .option("mapreduce.output.basename", f"{entity.source}_{entity.name}_batch_schema_{code}")
         .partitionBy(*DAY_COLUMNS).parquet(flat_path(folder, entity))
     )
 
 
-def day_folders(spark: SparkSession, root: str) -> list[str]:
-    """Day folders below ``root``: a file listing, no file is opened.
+def file_groups(spark: SparkSession, root: str) -> list[tuple[str, str]]:
+    """(schema code, one file of it) per schema below ``root``: a file listing, no file is opened.
 
-    The list handed to the driver grows with the number of days, not files.
+    Files that bear no code form a group each. So the list handed to the driver
+    grows with the number of schemas and of files written by others.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
-        "recursiveFileLookup", "true").load(root)
-    folders = files.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct()
-    return sorted(row.folder for row in folders.collect())
+        "recursiveFileLookup", "true").load(root).select("path", F.regexp_extract("path", _CODE, 1).alias("code"))
+    groups = files.groupBy("code", F.when(F.col("code") == "", F.col("path")).alias("own")).agg(F.min("path").alias("path"))
+    return sorted((row.code, row.path) for row in groups.select("code", "path").collect())
 
 
 def read_flat(spark: SparkSession, folder: str, entity: Entity) -> DataFrame:
-    """Read all days as text columns, whatever type each day was written with.
+    """Read all files as text columns, whatever type each was written with.
 
-    Days are grouped by the schema in their footer; each group is read with
-    that schema and cast to text, and the groups are united by column name.
-    Reading across types directly fails, because merging schemas does not
-    reconcile text with numbers.
+    Files are grouped by schema, not by day; one footer per group is opened,
+    each group is read with its schema and cast to text, and the groups are
+    united by column name. Reading across types directly fails, because
+    merging schemas does not reconcile text with numbers.
     """
     root = flat_path(folder, entity)
     by_schema: dict[str, tuple[T.StructType, list[str]]] = {}
-    for path in day_folders(spark, root):
+    found: list[tuple[T.StructType, DataFrame]] = []
+    for code, path in file_groups(spark, root):
         schema = spark.read.parquet(path).schema
-        by_schema.setdefault(schema.json(), (schema, []))[1].append(path)
-    if not by_schema:
+        if code:
+            found.append((schema, spark.read.schema(schema).option("pathGlobFilter", f"*_schema_{code}*.parquet").parquet(root)))
+        else:
+            by_schema.setdefault(schema.json(), (schema, []))[1].append(path)
+    for schema, paths in by_schema.values():
+        found.append((schema, spark.read.schema(schema).option("basePath", root).parquet(*paths)))
+    if not found:
         raise FileNotFoundError(f"no Parquet files below {root}")
     groups = [
-        spark.read.schema(schema).option("basePath", root).parquet(*paths).select(
-            *[F.col(f"`{field.name}`").cast("string").alias(field.name) for field in schema])
-        for schema, paths in by_schema.values()
+        rows.select(*[F.col(f"`{field.name}`").cast("string").alias(field.name) for field in schema])
+        for schema, rows in found
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomledger.generate import entities as g
+from loomledger.generate import rates
 from loomledger.generate.dirt import generate
 from loomledger.plans.entities import ENTITIES
 from loomledger.plans.staging import stage
@@ -13,7 +14,7 @@ from loomledger.session import shared_folder
 from loomledger.sources.envelope import read_raw_events, write_raw_events
 from loomledger.testbed import landing as ld
 from loomledger.testbed.catalog import register
-from loomledger.testbed.oracle import CTES
+from loomledger.testbed.oracle import CTES, PAIR_BASE, PAIR_QUOTE, sql_list
 
 PLAN = g.Plan()
 
@@ -54,8 +55,8 @@ def _range(values: tuple[object, object, object]) -> str:
 
 CTES["gen_master"] = f"""
 SELECT k, {uuid('customer', 'id', 'k')} AS customer_id, 'Company ' || substr({digest('customer', 'name', 'k')}, 1, 8) AS company_name,
-  (['GB','DE','CH','NL','SE','NO','FI','DK','EE','ES','BE','LT','IE','AT','IS'])[market + 1] AS country_code,
-  (['GBP','EUR','CHF','EUR','SEK','NOK','EUR','DKK','EUR','EUR','EUR','EUR','EUR','EUR','ISK'])[market + 1] AS home_currency,
+  ({sql_list([country for country, _ in rates.MARKETS])})[market + 1] AS country_code,
+  ({sql_list([currency for _, currency in rates.MARKETS])})[market + 1] AS home_currency,
   segment, arr AS target_arr,
   CAST(floor_limit + floor({_cu('limit')} * (floor(least(top_limit, arr * 0.7::DOUBLE)) - floor_limit + 1)) AS DOUBLE) AS target_limit,
   floor((low_growth + {_cu('growth')} * (high_growth - low_growth)) * 100) / 100.0::DOUBLE AS arr_growth,
@@ -127,8 +128,7 @@ register("gen_repayments_profile", lambda s, d: rows("repayments")(s, d).agg(
     f"FROM (SELECT *, unnest(range(1, c + 1)) AS n FROM {_DONE})")
 register("gen_fx_transactions_profile", lambda s, d: rows("fx_transactions")(s, d).groupBy("base_currency", "quote_currency").agg(
     F.count("*").alias("rows"), F.count("quote_amount").alias("quoted")), "base_currency quote_currency rows quoted",
-    "SELECT (['EUR','EUR','EUR','EUR','EUR','EUR','GBP','GBP','CHF','USD','SEK','NOK','ISK','EUR','EUR','CAD'])[p + 1] AS base_currency, "
-    "(['GBP','USD','CHF','SEK','NOK','DKK','EUR','USD','EUR','EUR','EUR','EUR','EUR','ISK','CAD','EUR'])[p + 1] AS quote_currency, "
+    f"SELECT ({PAIR_BASE})[p + 1] AS base_currency, ({PAIR_QUOTE})[p + 1] AS quote_currency, "
     f"count(*) AS rows, count(*) FILTER (q < 0.7) AS quoted FROM (SELECT {whole('fx', 'pair', 0, 15, 'k', 'i')} AS p, "
     f"{u('fx', 'has quote', 'k', 'i')} AS q FROM {each(whole('customer', 'fx', 8, 24, 'k'))}) GROUP BY 1, 2")
 register("gen_account_balances_profile", lambda s, d: rows("account_balances")(s, d).groupBy(

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from loomledger.plans.entities import ENTITIES, Entity
 from loomledger.plans.warehouse import Warehouse
 from loomledger.functions import columns as c
+from loomledger.generate import rates
 from loomledger.session import shared_folder
 from loomledger.sources.envelope import pack, read_raw_events, write_raw_events
 from loomledger.sources.tables import build
@@ -24,15 +25,8 @@ from loomledger.sources.tables import build
 CURRENCY_TEXTS = ["GBP", "EUR", "CHF", "SEK", "NOK", "DKK", "ISK", "USD", "CAD", "usd", "EURO", ""]
 # Rotation of country texts as they arrive.
 COUNTRY_TEXTS = ["gb", "DE", "SE", "", "XX", "FR", "Us", "UK"]
-# Currency pairs with a base rate in millionths.
-PAIRS = [
-    ("EUR", "GBP", 850000), ("EUR", "USD", 1080000), ("EUR", "CHF", 940000), ("EUR", "SEK", 11500000),
-    ("EUR", "NOK", 11800000), ("EUR", "DKK", 7450000), ("GBP", "EUR", 1180000), ("GBP", "USD", 1270000),
-    ("CHF", "EUR", 1060000), ("USD", "EUR", 930000), ("SEK", "EUR", 87000), ("NOK", "EUR", 85000),
-    ("ISK", "EUR", 6700), ("EUR", "ISK", 149000000), ("EUR", "CAD", 1470000), ("CAD", "EUR", 680000),
-]
-PLANS = ["Starter", "Professional", "Enterprise", "Growth", "Scale", "Custom"]
-PURPOSES = ["working_capital", "expansion", "marketing", "hiring", None]
+# Currency pairs with a rate in millionths, so that both engines compute in whole numbers.
+PAIRS = [(base, quote, round(rate * 1_000_000)) for (base, quote), rate in rates.FX_RATES.items()]
 
 # Days of month whose batches are damaged.
 RENAMED_KEY_DAYS = {8: "customerId", 20: "Customer_ID"}
@@ -138,7 +132,7 @@ def subscriptions(t: Tables) -> DataFrame:
         F.when(k % 211 != 5, F.concat(F.lit("S"), k)).alias("subscription_id"),
         F.when(k % 101 != 0, F.concat(F.lit("C"), "user_id")).alias("customer_id"),
         F.when(k % 9 != 0, F.concat(F.lit("plan_"), k % 20)).alias("plan_id"),
-        pick(PLANS, k % 6).alias("plan_name"),
+        pick(rates.PLANS, k % 6).alias("plan_name"),
         (F.col("value") + F.col("copy")).alias("mrr_amount"),
         pick(CURRENCY_TEXTS, k % 12).alias("currency"),
         e("case event_type when 'signup' then 'cancelled' when 'error' then 'PAUSED' else 'Active' end").alias("status"),
@@ -271,7 +265,7 @@ def drawdowns(t: Tables) -> DataFrame:
         F.when(m % 33 == 0, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice")).alias("amount"),
         pick(CURRENCY_TEXTS, m % 12).alias("currency"),
         date_text(F.col("d"), m % 10).alias("drawdown_date"),
-        pick(PURPOSES, F.col("l_linenumber") % 5).alias("purpose"),
+        pick(rates.PURPOSES, F.col("l_linenumber") % 5).alias("purpose"),
         e("case l_returnflag when 'A' then 'Completed' when 'N' then 'pending' else 'FAILED' end").alias("status"),
         _lineitem_batch("drawdowns").alias("_batch_id"),
     )

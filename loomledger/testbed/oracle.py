@@ -9,17 +9,25 @@ the ones a statement needs.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
+
+from loomledger.generate import rates
+
+
+def sql_list(values: Sequence[object]) -> str:
+    """A list literal of texts and whole numbers."""
+    return "[" + ",".join(f"'{value}'" if isinstance(value, str) else str(value) for value in values) + "]"
+
 
 NOW = "TIMESTAMP '2024-02-15 00:00:00'"
 SHIFT = "to_days(9131)"
 
 CURRENCY = "['GBP','EUR','CHF','SEK','NOK','DKK','ISK','USD','CAD','USD',NULL,NULL]"
 COUNTRY = "['GB','DE','SE',NULL,NULL,'FR','US',NULL]"
-PAIR_BASE = ("['EUR','EUR','EUR','EUR','EUR','EUR','GBP','GBP','CHF','USD','SEK','NOK','ISK','EUR','EUR','CAD']")
-PAIR_QUOTE = ("['GBP','USD','CHF','SEK','NOK','DKK','EUR','USD','EUR','EUR','EUR','EUR','EUR','ISK','CAD','EUR']")
-PAIR_MICRO = ("[850000,1080000,940000,11500000,11800000,7450000,1180000,1270000,1060000,930000,87000,85000,"
-              "6700,149000000,1470000,680000]")
-PLAN = "['Starter','Professional','Enterprise','Growth','Scale','Custom']"
+PAIR_BASE = sql_list([base for base, _ in rates.FX_RATES])
+PAIR_QUOTE = sql_list([quote for _, quote in rates.FX_RATES])
+PAIR_MICRO = sql_list([round(rate * 1_000_000) for rate in rates.FX_RATES.values()])
+PLAN = sql_list(rates.PLANS)
 
 # What a column holds decides how it is made comparable.
 KINDS: dict[str, set[str]] = {
