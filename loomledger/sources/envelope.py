@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,15 +95,40 @@ def with_day(df: DataFrame, ts: str = "_ingested_at") -> DataFrame:
     })
 
 
-def write_raw_events(events: DataFrame, landing: str, entity: Entity) -> None:
-    """Append envelopes under their ingestion day.
+def not_landed(events: DataFrame, landing: str, entity: Entity, since: date | None = None) -> DataFrame:
+    """The events whose batch the landing zone does not hold yet.
 
-    The rebalance hint lets adaptive execution size the files: small days
-    are merged, a day that holds most rows is split over several tasks. The
-    file base name carries the entity, which is what the reader skips by.
+    Batch ids are made distinct before the join; ``since`` bounds the days
+    that are compared. Events without a batch id are always new.
+    """
+    try:
+        landed = (
+            events.sparkSession.read.schema("_batch_id string, year int, month int, day int")
+            .option("pathGlobFilter", f"raw_events_{entity.source}_{entity.name}_*.parquet")
+            .parquet(f"{landing}/{RAW_ROOT}")
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return events
+    days = day_predicate(since, None)
+    if days is not None:
+        landed = landed.filter(days)
+    return events.join(landed.select("_batch_id").distinct(), "_batch_id", "left_anti").select(*events.columns)
+
+
+def write_raw_events(events: DataFrame, landing: str, entity: Entity, since: date | None = None) -> None:
+    """Append envelopes under their ingestion day; batches landed before are left out.
+
+    The day folders are shared by all entities, so a rerun cannot replace
+    them; it lands nothing instead. ``since`` is the first day whose batches
+    may come again. The rebalance hint lets adaptive execution size the files:
+    small days are merged, a day that holds most rows is split over several
+    tasks. The file base name carries the entity, which is what the reader
+    skips by.
     """
     (
-        with_day(events).hint("rebalance", *DAY_COLUMNS)
+        with_day(not_landed(events, landing, entity, since)).hint("rebalance", *DAY_COLUMNS)
         .write.mode("append")
         .option("compression", "snappy")
         .option("mapreduce.output.basename", f"raw_events_{entity.source}_{entity.name}_batch")

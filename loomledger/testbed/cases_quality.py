@@ -9,6 +9,8 @@ from loomledger.functions import columns as c
 from loomledger.plans import quality as q
 from loomledger.plans.entities import ENTITIES
 from loomledger.plans.staging import cleansed, parsed
+from loomledger.session import shared_folder
+from loomledger.sources.envelope import write_raw_events
 from loomledger.testbed import landing as ld
 from loomledger.testbed.catalog import register
 from loomledger.testbed.oracle import NOW
@@ -103,3 +105,33 @@ register("dq_landing_check",
          "source entity status",
          " UNION ALL ".join(f"SELECT '{entity.source}' AS source, '{entity.name}' AS entity, 'ok' AS status"
                             for entity in ENTITIES.values()))
+
+
+def _landed_in_part(s, d: str) -> DataFrame:
+    """One file of two entities each; the other seven are missing."""
+    folder = shared_folder(s, "landed-in-part")
+    for name in ("invoices", "company_metrics"):
+        one_day = ld.packed_events(s, d, name).filter(F.to_date("_ingested_at") == "2024-01-05")
+        write_raw_events(one_day.coalesce(1), folder, ENTITIES[name])
+    return q.landed_files(s, folder).select("source", "entity", "files", "status")
+
+
+register("dq_landing_missing", _landed_in_part, "source entity files status",
+         " UNION ALL ".join(
+             f"SELECT '{entity.source}' AS source, '{entity.name}' AS entity, CAST({n} AS BIGINT) AS files, "
+             f"'{'ok' if n else 'missing'}' AS status"
+             for entity in ENTITIES.values() for n in [int(entity.name in ("invoices", "company_metrics"))]))
+
+
+def _stopped(s, d: str) -> DataFrame:
+    """The checks for which the run stops."""
+    try:
+        q.require(_run(_ALL)(s, d))
+    except q.ChecksFailed as failed:
+        return s.createDataFrame([(message,) for message in str(failed).split(", ")], "message string")
+    return s.createDataFrame([], "message string")
+
+
+register("dq_required", _stopped, "message",
+         "SELECT model || '.' || \"column\" || ' ' || test || ' (' || failures || ')' AS message "
+         f"FROM ({_expected(_ALL)}) WHERE status = 'fail'")

@@ -78,6 +78,52 @@ def _roundtrip(s, d: str) -> DataFrame:
 register("raw_events_roundtrip", _roundtrip, "snapshot_id customer_id balance _ingested_at", "SELECT * FROM s_account_balances")
 
 
+def _rerun(s, d: str) -> DataFrame:
+    """The same batches landed twice."""
+    entity, folder = ENTITIES["account_balances"], shared_folder(s, "rerun")
+    for _ in range(2):
+        write_raw_events(ld.packed_events(s, d, entity.name), folder, entity)
+    return cleansed(parsed(read_raw_events(s, folder, entity), entity), entity).select("snapshot_id", "customer_id", "balance", "_ingested_at")
+
+
+register("raw_events_rerun", _rerun, "snapshot_id customer_id balance _ingested_at", "SELECT * FROM s_account_balances")
+
+
+def _lacking(s, d: str) -> DataFrame:
+    """Older files lack an envelope column and are read together with newer ones."""
+    entity, folder = ENTITIES["account_balances"], shared_folder(s, "lacking")
+    events = ld.packed_events(s, d, entity.name)
+    old = F.dayofmonth("_ingested_at") <= 15
+    write_raw_events(events.filter(old).drop("_schema_version"), folder, entity)
+    write_raw_events(events.filter(~old), folder, entity)
+    return read_raw_events(s, folder, entity).groupBy("_schema_version").agg(
+        F.count("*").alias("events"), F.max("_ingested_at").alias("newest"))
+
+
+register("raw_events_missing_column", _lacking, "_schema_version events newest",
+         "SELECT CASE WHEN day(_ingested_at) > 15 THEN CAST(1 AS BIGINT) END AS _schema_version, count(*) AS events, "
+         "max(_ingested_at) AS newest FROM f_account_balances GROUP BY 1")
+
+
+def _flat_batches(s, d: str) -> DataFrame:
+    """Two batches of the same days with different names and types; the first is landed twice."""
+    entity, folder = ENTITIES["company_metrics"], shared_folder(s, "flat-batches")
+    rows = ld.BUILDERS[entity.name](ld.Tables(s, d)).select("metric_id", "customer_id", "arr_reported", "_ingested_at")
+    first = F.crc32(F.col("metric_id").cast("binary")) % 2 == 0
+    for _ in range(2):
+        flat.write_flat(rows.filter(first), folder, entity)
+    flat.write_flat(rows.filter(~first).withColumnRenamed("customer_id", "customerId")
+                    .withColumn("arr_reported", F.col("arr_reported").cast("string")), folder, entity, replace=False)
+    return flat.read_flat(s, folder, entity).select(
+        "metric_id", F.coalesce("customer_id", "customerId").alias("customer_id"),
+        c.to_money(c.to_number(F.col("arr_reported"))).alias("arr_reported"))
+
+
+register("flat_batches_of_a_day", _flat_batches, "metric_id customer_id arr_reported",
+         "SELECT 'M' || event_id AS metric_id, 'C' || user_id AS customer_id, "
+         "CAST(round(value * 100) * 12 AS DECIMAL(18,2)) AS arr_reported FROM events WHERE event_type = 'signup'")
+
+
 def _flat_roundtrip(s, d: str) -> DataFrame:
     entity = ENTITIES["company_metrics"]
     folder = shared_folder(s, "flat")
@@ -148,6 +194,20 @@ register("external_table_read", _external, "status repayments total_amount",
          "SELECT status, count(*) AS repayments, sum(actual_amount) AS total_amount FROM fct_r GROUP BY 1")
 
 
+def _external_again(s, d: str) -> DataFrame:
+    """A table registered over a part of the rows, then over all of them elsewhere."""
+    folder, fact = shared_folder(s, "external"), ld.built_warehouse(s, d).fct_repayments()
+    name = "fct_repayments_" + folder.rsplit("-", 1)[1]
+    for part, rows in (("part", fact.filter(F.col("status") == "paid")), ("all", fact)):
+        tables.export_mart(rows, "fct_repayments", f"{folder}/{part}")
+        tables.register_external(s, "fct_repayments", f"{folder}/{part}/fct_repayments", name)
+    return s.sql(f"SELECT status, count(*) AS repayments, sum(actual_amount) AS total_amount FROM {name} GROUP BY status")
+
+
+register("external_table_replaced", _external_again, "status repayments total_amount",
+         "SELECT status, count(*) AS repayments, sum(actual_amount) AS total_amount FROM fct_r GROUP BY 1")
+
+
 def _by_day(s, d: str) -> DataFrame:
     path = shared_folder(s, "by-day")
     fact = ld.built_warehouse(s, d).fct_fx_transactions()

@@ -63,6 +63,32 @@ def test_flat_tables_with_mixed_types(spark, tmp_path):
         [("a", None, "1.5", None), (None, "b", "2.5", None), ("c", None, "300", "true")], key=str)
 
 
+def test_batches_of_one_day_may_differ_in_names_and_types(spark, tmp_path):
+    entity, day = ENTITIES["company_metrics"], "timestamp_ntz'2026-01-01 00:00:00' AS _ingested_at"
+    flat.write_flat(spark.sql(f"SELECT 'a' AS metric_id, 1.5D AS valuation, {day}"), str(tmp_path), entity)
+    flat.write_flat(spark.sql(f"SELECT 'b' AS metricId, '2.5' AS valuation, {day}"), str(tmp_path), entity, replace=False)
+    # A file that another program wrote, without the schema in its name.
+    spark.sql("SELECT 'c' AS metric_id, 300L AS valuation").coalesce(1).write.mode("append").parquet(
+        f"{flat.flat_path(str(tmp_path), entity)}/year=2026/month=1/day=2")
+    rows = flat.read_flat(spark, str(tmp_path), entity).select("metric_id", "metricId", "valuation").collect()
+    assert sorted(map(tuple, rows), key=str) == sorted([("a", None, "1.5"), (None, "b", "2.5"), ("c", None, "300")], key=str)
+    assert len(flat.file_groups(spark, flat.flat_path(str(tmp_path), entity))) == 3
+
+
+def test_reruns_change_nothing(spark, sf_dir, tmp_path):
+    entity = ENTITIES["company_metrics"]
+    events = ld.packed_events(spark, sf_dir, entity.name)
+    rows = ld.BUILDERS[entity.name](ld.Tables(spark, sf_dir))
+    for _ in range(2):
+        flat.write_flat(rows, str(tmp_path / "flat"), entity)
+        write_raw_events(events, str(tmp_path / "raw"), entity)
+    assert flat.read_flat(spark, str(tmp_path / "flat"), entity).count() == rows.count()
+    assert read_raw_events(spark, str(tmp_path / "raw"), entity).count() == events.count()
+    late = events.limit(3).withColumn("_batch_id", F.lit("late"))
+    write_raw_events(late, str(tmp_path / "raw"), entity)
+    assert read_raw_events(spark, str(tmp_path / "raw"), entity).count() == events.count() + 3
+
+
 def test_day_export_replaces_only_its_days(spark, tmp_path):
     def rows(n, day):
         return spark.sql(f"SELECT {n} AS n, timestamp_ntz'2026-01-0{day} 10:00:00' AS at")
