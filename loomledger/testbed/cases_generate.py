@@ -89,10 +89,207 @@ def each(count: str, alias: str = "i") -> str:
     return f"(SELECT *, unnest(range(1, {count} + 1)) AS {alias} FROM gen_master)"
 
 
-# --- full rows, and profiles with expected counts -----------------------------------
+# --- full rows -----------------------------------------------------------------------
 
-for _name in g.GENERATORS:
-    register(f"gen_{_name}", rows(_name))
+def between(kind: str, purpose: str, low: float, high: float, *key: str) -> str:
+    return f"({low}::DOUBLE + {u(kind, purpose, *key)} * ({high}::DOUBLE - {low}::DOUBLE))"
+
+
+def pick(kind: str, purpose: str, values: list[object], *key: str) -> str:
+    listed = sql_list(values).replace("None", "NULL")
+    return f"({listed})[CAST(floor({u(kind, purpose, *key)} * {len(values)}) AS BIGINT) + 1]"
+
+
+def chance(kind: str, purpose: str, p: float, then: str, other: str, *key: str) -> str:
+    return f"CASE WHEN {u(kind, purpose, *key)} < {p} THEN {then} ELSE {other} END"
+
+
+def days_on(start: str, days: str) -> str:
+    return f"({start} + to_days(CAST({days} AS INTEGER)))"
+
+
+def from_first_day(days: str) -> str:
+    return days_on(f"TIMESTAMP '{PLAN.start} 00:00:00'", days)
+
+
+def window_day(kind: str, purpose: str, *key: str) -> str:
+    return from_first_day(whole(kind, purpose, 0, PLAN.days - 1, *key))
+
+
+def currency(kind: str, *key: str) -> str:
+    wrong = pick(kind, "which currency", rates.BAD_CURRENCIES, *key)
+    return chance(kind, "bad currency", rates.BAD_CURRENCY_RATE, wrong, "home_currency", *key)
+
+
+def to_cents(value: str) -> str:
+    return f"(floor(({value}) * 100) / 100.0::DOUBLE)"
+
+
+def half_up(value: str, digits: int) -> str:
+    """Rounds what the double prints as."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(30,15)), {digits}) AS DOUBLE)"
+
+
+def ingested(kind: str, *key: str) -> str:
+    return f"{window_day(kind, 'ingested', *key)} AS _ingested_at"
+
+
+_KI, _KIN, _S, _N, _A, _X, _F, _D, _R, _FX, _B, _C = (
+    ("k", "i"), ("k", "i", "n"), "subscription", "invoice", "application", "extra application", "facility", "drawdown",
+    "repayment", "fx", "balance", "metric")
+
+CTES["gen_draws"] = f"""
+SELECT k, i, customer_id, home_currency, CASE WHEN {u(_D, 'null id', *_KI)} >= 0.02 THEN {uuid(_D, 'id', *_KI)} END AS drawdown_id,
+  {chance(_D, 'orphan', 0.05, uuid(_D, 'no facility', *_KI),
+          uuid(_F, 'id', 'k', whole(_D, 'facility', 1, 'facility_count', *_KI)), *_KI)} AS facility_id,
+  {to_cents('target_limit * ' + between(_D, 'amount', 0.1, 0.4, *_KI))} AS positive,
+  {from_first_day(whole(_D, 'drawn', 0, PLAN.days - 2, *_KI))} AS drawdown_date,
+  {pick(_D, 'status', ['completed', 'completed', 'completed', 'pending', 'failed'], *_KI)} AS status
+FROM {each('drawdown_count')}
+"""
+CTES["gen_paid_back"] = f"""
+SELECT *, {days_on('drawdown_date', 'n * 30')} AS due, {u(_R, 'paid', *_KIN)} < 0.85 AS is_paid,
+  {to_cents('positive / c * ' + between(_R, 'share', 0.9, 1.1, *_KIN))} AS scheduled
+FROM (SELECT *, unnest(range(1, c + 1)) AS n FROM (
+  SELECT *, {whole(_D, 'repayments', 4, 7, *_KI)} AS c FROM gen_draws WHERE status = 'completed'))
+"""
+
+CTES["gen_registered"] = f"""
+SELECT *, {chance(_A, 'no registration', 0.05, "''",
+                  f"substr(CAST(CAST('0x' || substr({digest(_A, 'registration', 'k')}, 1, 12) AS BIGINT) AS VARCHAR), 1, 8)", 'k')}
+  AS registration FROM gen_master
+"""
+_SNAPSHOT = (f"{currency(_B, *_KI)} AS currency, {whole(_B, 'balance', 10000, 1999999, *_KI)} AS balance, "
+             f"{from_first_day('i')} AS snapshot_date, {pick(_B, 'type', ['operating', 'reserve', 'fx'], *_KI)} AS account_type, "
+             f"{from_first_day('i')} AS created_at, {ingested(_B, *_KI)}")
+_DAYS = f"(SELECT *, unnest(range(0, {PLAN.days})) AS i FROM gen_master)"
+
+#: Per entity: columns with their kinds where these differ from the models', expected rows.
+FULL: dict[str, tuple[str, str]] = {
+    "subscriptions": (
+        "subscription_id customer_id plan_id plan_name mrr_amount:double currency status billing_period_start "
+        "billing_period_end quantity created_at _ingested_at",
+        f"""SELECT *, {days_on('billing_period_start', '30')} AS billing_period_end FROM (
+        SELECT {uuid(_S, 'id', *_KI)} AS subscription_id, customer_id, 'plan_' || {whole(_S, 'plan', 1, 20, *_KI)} AS plan_id,
+          {pick(_S, 'plan name', rates.PLANS, *_KI)} AS plan_name,
+          {to_cents('target_arr / 12 / subscription_count * ' + between(_S, 'mrr', 0.5, 1.5, *_KI))} AS mrr_amount,
+          {currency(_S, *_KI)} AS currency,
+          {chance(_S, 'cancelled', 0.05, "'cancelled'", chance(_S, 'paused', 0.03, "'paused'", "'active'", *_KI), *_KI)} AS status,
+          {window_day(_S, 'start', *_KI)} AS billing_period_start, {whole(_S, 'quantity', 1, 49, *_KI)} AS quantity,
+          {from_first_day('-' + whole(_S, 'created', 1, 364, *_KI))} AS created_at, {ingested(_S, *_KI)}
+        FROM {each('subscription_count')})"""),
+    "invoices": (
+        "invoice_id customer_id subscription_id amount:double currency invoice_date due_date paid_at status line_items_json "
+        "created_at _ingested_at",
+        f"""SELECT {uuid(_N, 'id', *_KI)} AS invoice_id, customer_id,
+          {chance(_N, 'has subscription', 0.80, uuid(_S, 'id', 'k', whole(_N, 'linked', 1, 'subscription_count', *_KI)), 'NULL', *_KI)}
+            AS subscription_id,
+          {to_cents('part * ' + between(_N, 'amount', 0.8, 1.2, *_KI))} AS amount, {currency(_N, *_KI)} AS currency,
+          issued AS invoice_date, {days_on('issued', '14')} AS due_date,
+          CASE WHEN is_paid THEN {days_on('issued', whole(_N, 'paid after', 1, 19, *_KI))} END AS paid_at,
+          CASE WHEN is_paid THEN 'paid' ELSE {chance(_N, 'void', 0.05, "'void'", pick(_N, 'unpaid', ['open', 'uncollectible'], *_KI), *_KI)}
+            END AS status,
+          '[{{"description":"service ' || substr({digest(_N, 'item', *_KI)}, 1, 6) || '","amount":'
+            || {to_cents('part * ' + between(_N, 'item amount', 0.8, 1.2, *_KI))} || ',"currency":"' || home_currency || '"}}]'
+            AS line_items_json, issued AS created_at, {ingested(_N, *_KI)}
+        FROM (SELECT *, target_arr / 12 / count AS part, {window_day(_N, 'issued', *_KI)} AS issued, {u(_N, 'paid', *_KI)} < 0.85 AS is_paid
+          FROM (SELECT *, unnest(range(1, count + 1)) AS i FROM (
+            SELECT *, {whole('customer', 'invoices', 30, 89, 'k')} AS count FROM gen_master)))"""),
+    "loan_applications": (
+        "application_id customer_id company_name company_registration_number country_code industry requested_amount:double currency "
+        "application_date status credit_score risk_rating headcount_at_application valuation_at_application:plain "
+        "arr_at_application:plain created_at _ingested_at",
+        f"""SELECT *, application_date AS created_at, 'SaaS' AS industry FROM (
+        SELECT {uuid(_A, 'id', 'k')} AS application_id, customer_id, company_name, registration AS company_registration_number,
+          {chance(_A, 'no country', 0.05, "''", 'country_code', 'k')} AS country_code, target_limit AS requested_amount,
+          {currency(_A, 'k')} AS currency, {from_first_day('-' + whole(_A, 'applied', 30, 364, 'k'))} AS application_date,
+          'approved' AS status,
+          {chance(_A, 'good score', 0.98, whole(_A, 'score', 300, 849, 'k'), pick(_A, 'bad score', rates.BAD_SCORES, 'k'), 'k')}
+            AS credit_score, {pick(_A, 'risk', ['low', 'medium', 'high'], 'k')} AS risk_rating, headcount_at_application,
+          valuation_at_application, CAST(floor(target_arr / (arr_growth + 1)) AS BIGINT) AS arr_at_application, {ingested(_A, 'k')}
+        FROM gen_registered
+        UNION ALL
+        SELECT {uuid(_X, 'id', 'k')}, {uuid(_X, 'customer', 'k')}, 'Company ' || substr({digest(_X, 'name', 'k')}, 1, 8), registration,
+          country_code, CAST({whole(_X, 'amount', 50000, 1999999, 'k')} AS DOUBLE), home_currency,
+          {from_first_day('-' + whole(_X, 'applied', 30, 179, 'k'))}, {pick(_X, 'status', ['rejected', 'pending', 'cancelled'], 'k')},
+          {whole(_X, 'score', 300, 849, 'k')}, {pick(_X, 'risk', ['low', 'medium', 'high', 'N/A'], 'k')},
+          {whole(_X, 'headcount', 5, 99, 'k')}, {whole(_X, 'valuation', 500000, 9999999, 'k')},
+          {whole(_X, 'arr', 200000, 4999999, 'k')}, {window_day(_X, 'ingested', 'k')}
+        FROM gen_registered WHERE {u(_X, 'extra', 'k')} < 0.25)"""),
+    "credit_facilities": (
+        "facility_id application_id customer_id facility_limit:double currency approval_date maturity_date status interest_rate "
+        "repayment_schedule_json created_at _ingested_at",
+        f"""SELECT {uuid(_F, 'id', *_KI)} AS facility_id,
+          {chance(_F, 'has application', 0.80, uuid(_A, 'id', 'k'), 'NULL', *_KI)} AS application_id, customer_id,
+          {chance(_F, 'negative', 0.01, '-full_limit', 'full_limit', *_KI)} AS facility_limit, {currency(_F, *_KI)} AS currency,
+          approved_on AS approval_date, {days_on('approved_on', '730')} AS maturity_date,
+          CASE WHEN i = facility_count THEN 'active' ELSE 'closed' END AS status,
+          {half_up(between(_F, 'interest', 0.08, 0.18, *_KI), 4)} AS interest_rate,
+          '[' || array_to_string(['{{"due_date":"' || strftime({days_on('approved_on', 'm * 30')}, '%Y-%m-%d') || '","amount":'
+            || {to_cents('full_limit * 0.05::DOUBLE')} || '}}' FOR m IN range(1, 13)], ',') || ']' AS repayment_schedule_json,
+          approved_on AS created_at, {ingested(_F, *_KI)}
+        FROM (SELECT *, {from_first_day('-' + whole(_F, 'approved', 30, 729, *_KI))} AS approved_on,
+          {to_cents('target_limit * CASE WHEN i > 1 THEN 0.6::DOUBLE ELSE 1.0::DOUBLE END')} AS full_limit
+          FROM {each('facility_count')})"""),
+    "drawdowns": (
+        "drawdown_id facility_id customer_id amount:double currency drawdown_date purpose status created_at _ingested_at",
+        f"""SELECT * EXCLUDE (landed), landed + to_seconds(unnest(
+          {chance(_D, 'duplicate', rates.DUPLICATE_RATE, '[0, 1]', '[0]', *_KI)})) AS _ingested_at FROM (
+        SELECT k, i, drawdown_id, facility_id, customer_id, {chance(_D, 'negative', 0.03, '-positive', 'positive', *_KI)} AS amount,
+          {currency(_D, *_KI)} AS currency, drawdown_date, {pick(_D, 'purpose', rates.PURPOSES, *_KI)} AS purpose, status,
+          drawdown_date AS created_at, {window_day(_D, 'ingested', *_KI)} AS landed FROM gen_draws)"""),
+    "repayments": (
+        "repayment_id drawdown_id facility_id customer_id scheduled_amount:double actual_amount:double currency due_date actual_date "
+        "status created_at _ingested_at",
+        f"""SELECT *, due_date AS created_at FROM (
+        SELECT {uuid(_R, 'id', *_KIN)} AS repayment_id, drawdown_id, facility_id, customer_id, scheduled AS scheduled_amount,
+          CASE WHEN is_paid THEN scheduled END AS actual_amount, {currency(_R, *_KIN)} AS currency, due AS due_date,
+          CASE WHEN is_paid THEN {days_on('due', whole(_R, 'lag', -5, 9, *_KIN))} END AS actual_date,
+          CASE WHEN is_paid THEN 'paid' ELSE {pick(_R, 'unpaid', ['scheduled', 'overdue'], *_KIN)} END AS status, {ingested(_R, *_KIN)}
+        FROM gen_paid_back
+        UNION ALL
+        SELECT {uuid(_R, 'lost', *_KIN)}, {uuid(_R, 'lost drawdown', *_KIN)}, {uuid(_R, 'lost facility', *_KIN)},
+          {uuid(_R, 'lost customer', *_KIN)}, CAST({whole(_R, 'lost amount', 1000, 49999, *_KIN)} AS DOUBLE), NULL,
+          {currency(_R, *_KIN)}, {window_day(_R, 'lost due', *_KIN)}, NULL, 'scheduled', {window_day(_R, 'ingested', *_KIN)}
+        FROM gen_paid_back WHERE {u(_R, 'orphan', *_KIN)} < {rates.ORPHAN_RATE})"""),
+    "fx_transactions": (
+        "transaction_id customer_id base_currency quote_currency base_amount:plain quote_amount:double rate rate_type transaction_date "
+        "counterparty_bank_bic created_at _ingested_at",
+        f"""SELECT *, CASE WHEN {u(_FX, 'has quote', *_KI)} < 0.70 THEN {half_up('base_amount * rate', 2)} END AS quote_amount FROM (
+        SELECT k, i, {uuid(_FX, 'id', *_KI)} AS transaction_id, customer_id, ({PAIR_BASE})[p] AS base_currency,
+          ({PAIR_QUOTE})[p] AS quote_currency, {whole(_FX, 'amount', 1000, 499999, *_KI)} AS base_amount,
+          {half_up(chance(_FX, 'inverse', 0.05, '1.0::DOUBLE / direct', 'direct', *_KI), 6)} AS rate,
+          {chance(_FX, 'has type', 0.90, pick(_FX, 'type', ['spot', 'forward'], *_KI), 'NULL', *_KI)} AS rate_type,
+          {window_day(_FX, 'booked', *_KI)} AS transaction_date,
+          {chance(_FX, 'has bic', 0.80, f"upper(substr({digest(_FX, 'bic', *_KI)}, 1, 4)) || 'GB2L'", 'NULL', *_KI)}
+            AS counterparty_bank_bic, {window_day(_FX, 'booked', *_KI)} AS created_at, {ingested(_FX, *_KI)}
+        FROM (SELECT *, greatest({rates.FX_FLOOR}::DOUBLE, {half_up(f"({sql_list(list(rates.FX_RATES.values()))}::DOUBLE[])[p] + "
+              f"sqrt(-2.0::DOUBLE * ln(1.0::DOUBLE - {u(_FX, 'noise/r', *_KI)})) * cos({u(_FX, 'noise/a', *_KI)} * "
+              f"6.283185307179586::DOUBLE) * {rates.FX_DEVIATION}::DOUBLE", 6)}) AS direct
+          FROM (SELECT *, {whole(_FX, 'pair', 0, len(rates.FX_RATES) - 1, *_KI)} + 1 AS p
+                FROM {each(whole('customer', 'fx', 8, 24, 'k'))})))"""),
+    "account_balances": (
+        "snapshot_id customer_id account_id currency balance:plain snapshot_date account_type created_at _ingested_at",
+        f"""SELECT {uuid(_B, 'id', *_KI)} AS snapshot_id, customer_id,
+          'acct_' || substr(customer_id, 1, 8) || '_' || {whole(_B, 'account', 1, 3, *_KI)} AS account_id, {_SNAPSHOT} FROM {_DAYS}
+        UNION ALL
+        SELECT {uuid(_B, 'lost', *_KI)}, {uuid(_B, 'lost customer', *_KI)}, 'acct_orphan_' || {whole(_B, 'lost account', 1, 999, *_KI)},
+          {_SNAPSHOT} FROM {_DAYS} WHERE {u(_B, 'orphan', *_KI)} < {rates.ORPHAN_RATE}"""),
+    "company_metrics": (
+        "metric_id customer_id metric_date headcount valuation:plain arr_reported:plain created_at _ingested_at",
+        f"""SELECT *, metric_date AS created_at FROM (
+        SELECT {uuid(_C, 'id', *_KI)} AS metric_id, customer_id, {from_first_day(whole(_C, 'measured', 0, PLAN.days - 2, *_KI))} AS metric_date,
+          CAST(floor(headcount_at_application * ({u(_C, 'team', *_KI)} * arr_growth + 1)) AS BIGINT) AS headcount,
+          CAST(floor(valuation_at_application * ({u(_C, 'worth', *_KI)} * arr_growth + 1)) AS BIGINT) AS valuation,
+          CAST(floor(target_arr * ({chance(_C, 'misreported', 0.30, between(_C, 'variance', -0.15, 0.15, *_KI), '0.0::DOUBLE', *_KI)} + 1))
+            AS BIGINT) AS arr_reported, {ingested(_C, *_KI)}
+        FROM {each(whole('customer', 'metrics', 2, 4, 'k'))})"""),
+}
+for _name, (_columns, _body) in FULL.items():
+    _parts = [column.split(":") for column in _columns.split()]
+    register(f"gen_{_name}", rows(_name), " ".join(part[0] for part in _parts), _body, {n: kind for n, *rest in _parts for kind in rest})
+
+# --- profiles with expected counts ------------------------------------------------------
 
 register("gen_subscriptions_profile", lambda s, d: rows("subscriptions")(s, d).groupBy("status").agg(
     F.count("*").alias("rows"), F.countDistinct("subscription_id").alias("ids")), "status rows ids",
