@@ -68,7 +68,8 @@ def train_profiles(rows: DataFrame, languages: Sequence[str] = LANGUAGES, sample
     labelled = rows.filter(F.col("declared").isin(*languages)).select("id", "declared", "part")
     chosen = (labelled.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= sample)
               .select("id", "declared", "part"))
-    texts = chosen.join(rows.select("id", "part", "text"), ["id", "part"]).select("declared", "text")
+    # At most ``sample`` keys per language are sent, so that no other row's text moves.
+    texts = rows.select("id", "part", "text").join(F.broadcast(chosen), ["id", "part"]).select("declared", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(languages), BUCKETS), dtype=np.int64)
@@ -82,7 +83,7 @@ def train_profiles(rows: DataFrame, languages: Sequence[str] = LANGUAGES, sample
                                          ["counts", "language"])
 
     total = np.zeros((len(languages), BUCKETS))
-    for counts, language in texts.coalesce(8).mapInArrow(run, "counts binary, language long").toLocalIterator():
+    for counts, language in texts.repartition(8).mapInArrow(run, "counts binary, language long").toLocalIterator():
         total[language] += np.frombuffer(bytes(counts), dtype=np.int64)
     smooth = total + 0.5
     profiles = np.log(smooth / smooth.sum(axis=1, keepdims=True))
