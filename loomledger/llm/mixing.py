@@ -167,9 +167,9 @@ def allocate(docs: DataFrame, recipe: Recipe = Recipe(), id_col: str = "doc_id",
     ends = spark.createDataFrame(
         [(row[0], [int(x) for x in np.cumsum(leaves[:, i])]) for i, row in enumerate(plan)],
         "_source string, _ends array<long>")
-    copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_passes") + F.col("_last") - 1))) \
-        if plan else drawn.withColumn("copy", F.lit(0).cast("long"))
-    copies = copies.filter(F.col("copy") < F.col("_passes") + F.col("_last"))
+    # A block without a draw goes first: from 0 to -1 a sequence counts down.
+    copies = (drawn.filter(F.col("_passes") + F.col("_last") > 0)
+              .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_passes") + F.col("_last") - 1))))
     draw_order = Window.partitionBy("_source").orderBy(
         F.xxhash64(F.lit(recipe.seed + 1), F.col("_source"), F.col("_block"), F.col("copy")), "_block", "copy")
     dealt = (copies.withColumn("_position", F.row_number().over(draw_order) - 1)

@@ -65,6 +65,21 @@ def test_mix_meets_targets(spark):
     assert len({r.shard for r in mixed}) > 8
 
 
+def test_blocks_without_a_draw_stay_out_of_the_mix(spark):
+    """Sources a and b are both to give fewer words than they have."""
+    rows = [(i, "one two three four five six seven eight nine ten", "en", "ab"[i % 2], 1) for i in range(600)]
+    recipe = Recipe(weights=(1, 3), share=0.5)
+    targets = dict(zip("ab", fill_targets([3000, 3000], recipe), strict=True))
+    assert targets == {"a": 750, "b": 2250}
+    taken = allocate(docs(spark, rows), recipe).collect()
+    mixed = mixed_rows(docs(spark, rows), recipe).collect()
+    for source, target in targets.items():
+        assert sum(r.mix_taken for r in taken if r.source == source) == target
+        assert sum(d.words for r in taken if r.source == source for d in r.mix_draws) == target
+        assert sum(len(WORD.findall(r.text)) for r in mixed if r.source == source) == target
+    assert all(0 <= r.shard < recipe.shards and r["copy"] >= 0 for r in mixed)
+
+
 def test_mix_of_an_empty_table(spark):
     assert allocate(docs(spark, [])).collect() == [] and mixed_rows(docs(spark, [])).collect() == []
 
