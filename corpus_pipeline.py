@@ -37,7 +37,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources are brought to their target words: one row per copy that the mix takes."""
+    """Sources are brought to their target words: one row per copy that the mix takes, shard after shard, shuffled within."""
     return _sized(mixed_rows(docs)).select(*docs.columns)
 
 

@@ -11,7 +11,9 @@
    the draws of all sources are divided by one multivariate hypergeometric
    draw, seeded by the node, until every shard has an exact quota per source.
 4. A source's draws, in a second hashed order, are dealt to the shards as
-   disjoint slices of those quotas; within a shard rows sort by ``shuffle_key``.
+   disjoint slices of those quotas. ``mixed_rows`` brings each shard's rows
+   together and sorts them by ``shuffle_key``, a hash; a shard of more than
+   ``PIECE_WORDS`` words is split by ranges of that hash, one task per range.
 
 The driver sees one row per source (at most ``max_sources``, else an error);
 blocks and documents stay in Spark. Block tables are broadcast only while
@@ -33,11 +35,13 @@ from loomledger.llm.common import WORD, own_columns, require_columns, settle, wh
 
 #: Names the operator uses itself; an extra input column of such a name is left out.
 OWN = ("mix_size mix_source_size mix_target mix_taken mix_draws copy shard shuffle_key _source _order _block _sub _draw "
-       "_draws _passes _left _block_words _sub_left _sub_words _doc_left _last_words").split()
+       "_draws _passes _left _place _block_words _sub_left _sub_words _doc_left _last_words").split()
 BLOCKS = 256
 SUB_BLOCKS = 1024
 BROADCAST_ROWS = 200_000
 MAX_SOURCES = 100_000
+#: Words of a shard that one task sorts; larger shards are split.
+PIECE_WORDS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -112,6 +116,11 @@ def allocate(docs: DataFrame, recipe: Recipe = Recipe(), id_col: str = "doc_id",
     comes last. Rows that agree in id, source and text are treated alike. An
     empty table gives an empty result.
     """
+    return _allocated(docs, recipe, id_col, text_col, source_col)[0]
+
+
+def _allocated(docs: DataFrame, recipe: Recipe, id_col: str, text_col: str, source_col: str) -> tuple[DataFrame, int]:
+    """The rows of ``allocate``, and the words of the whole mix."""
     require_columns(docs, [id_col, text_col, source_col])
     docs = own_columns(docs, OWN, [id_col, text_col, source_col])
     spark = docs.sparkSession
@@ -190,29 +199,37 @@ def allocate(docs: DataFrame, recipe: Recipe = Recipe(), id_col: str = "doc_id",
             .when(F.col("_sub_left") <= 0, F.lit(0))
             .otherwise(F.greatest(F.lit(0), F.least(F.col("mix_size"), F.col("_doc_left"))))).cast("long")
     words = lambda draw: F.when(draw["copy"] < F.col("_passes"), F.col("mix_size")).otherwise(F.col("_last_words"))
-    return (joined.withColumn("_last_words", last)
-            .withColumn("mix_taken", F.col("_passes") * F.col("mix_size") + F.col("_last_words"))
-            .withColumn("mix_draws", F.transform(
-                F.coalesce("_draws", F.array().cast("array<struct<copy:bigint,shard:int>>")),
-                lambda draw: F.struct(draw["copy"].alias("copy"), draw["shard"].alias("shard"), words(draw).alias("words"))))
-            .select(*docs.columns, "mix_size", "mix_source_size", "mix_target", "mix_taken", "mix_draws"))
+    mix = (joined.withColumn("_last_words", last)
+           .withColumn("mix_draws", F.transform(
+               F.coalesce("_draws", F.array().cast("array<struct<copy:bigint,shard:int>>")),
+               lambda draw: F.struct(draw["copy"].alias("copy"), draw["shard"].alias("shard"), words(draw).alias("words"))))
+           .withColumn("mix_taken", F.aggregate("mix_draws", F.lit(0).cast("long"), lambda total, draw: total + draw["words"]))
+           .select(*docs.columns, "mix_size", "mix_source_size", "mix_target", "mix_taken", "mix_draws"))
+    return mix, sum(passes * size + rest for _, size, _, passes, rest, _ in plan)
 
 
 def mixed_rows(docs: DataFrame, recipe: Recipe = Recipe(), id_col: str = "doc_id", text_col: str = "text",
                source_col: str = "source") -> DataFrame:
     """One row per copy that the mix takes: the input columns, copy, shard and shuffle_key.
 
+    A partition holds rows of one shard (of one range of ``shuffle_key``, if the
+    shard is large), sorted by ``shuffle_key``; partitions follow the order of shards.
     The one document per source in which the target falls is cut after the
     words taken. Documents without words carry nothing to a mix counted in
     words; they pass once per draw of their block.
     """
     docs = own_columns(docs, OWN, [id_col, text_col, source_col])
-    taken = allocate(docs, recipe, id_col, text_col, source_col)
+    taken, total = _allocated(docs, recipe, id_col, text_col, source_col)
     one = taken.withColumn("_draw", F.explode("mix_draws"))
     whole = F.col("_draw.words") == F.col("mix_size")
     head = F.concat_ws(" ", F.slice(F.regexp_extract_all(whole_text(text_col), F.lit(WORD), F.lit(0)),
                                     F.lit(1), F.col("_draw.words").cast("int")))
-    return (one.filter(whole | (F.col("_draw.words") > 0))
+    key = F.xxhash64(F.lit(recipe.seed + 2), F.col(id_col), whole_text(text_col), F.col("_draw.copy"))
+    rows = (one.filter(whole | (F.col("_draw.words") > 0))
+            .withColumn("shuffle_key", key)
             .withColumn(text_col, F.when(whole, F.col(text_col)).otherwise(head))
-            .select(*docs.columns, F.col("_draw.copy").alias("copy"), F.col("_draw.shard").alias("shard"),
-                    F.xxhash64(F.lit(recipe.seed + 2), F.col(id_col), F.col("_draw.copy")).alias("shuffle_key")))
+            .select(*docs.columns, F.col("_draw.copy").alias("copy"), F.col("_draw.shard").alias("shard"), "shuffle_key"))
+    pieces = max(1, -(-total // (recipe.shards * PIECE_WORDS)))
+    piece = F.least(F.lit(pieces - 1), F.floor((F.col("shuffle_key") / 2.0 ** 64 + 0.5) * pieces).cast("int"))
+    return (rows.withColumn("_place", F.col("shard") * pieces + piece)
+            .repartitionById(recipe.shards * pieces, "_place").sortWithinPartitions("shuffle_key").drop("_place"))

@@ -80,6 +80,23 @@ def test_blocks_without_a_draw_stay_out_of_the_mix(spark):
     assert all(0 <= r.shard < recipe.shards and r["copy"] >= 0 for r in mixed)
 
 
+def test_mixed_rows_are_shuffled_within_their_shards(spark, monkeypatch):
+    rows = [(i if i % 3 else None, f"w{i} " * 10, "abc"[i * 3 // 900], "s", 1) for i in range(900)]
+    mixed_in = lambda df: df.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()).collect()
+    one = mixed_in(mixed_rows(docs(spark, rows), Recipe(shards=4)))
+    monkeypatch.setattr("loomledger.llm.mixing.PIECE_WORDS", 700)
+    split = mixed_in(mixed_rows(docs(spark, rows), Recipe(shards=4)))
+    for got in (one, split):
+        shards = collections.defaultdict(set)
+        for r in got:
+            shards[r.part].add(r.shard)
+        assert all(len(found) == 1 for found in shards.values())
+        in_order = [(r.shard, r.shuffle_key) for r in sorted(got, key=lambda r: r.at)]
+        assert in_order == sorted(in_order) and {shard for shard, _ in in_order} == set(range(4))
+    assert len({r.part for r in one}) == 4 < len({r.part for r in split})
+    assert sorted(r.text for r in one) == sorted(r.text for r in split)
+
+
 def test_mix_of_an_empty_table(spark):
     assert allocate(docs(spark, [])).collect() == [] and mixed_rows(docs(spark, [])).collect() == []
 
