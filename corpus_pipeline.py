@@ -32,8 +32,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, that of the smallest id."""
-    return keep_one_each(docs)
+    """One document of each near-duplicate group stays, that of the smallest id, or one without an id where none has one."""
+    return keep_one_each(docs, without_id=True)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,18 +70,21 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp) per row, fp as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, seed: int = SEED, hashed: bool = False) -> DataFrame:
+    """(doc_id, fp) per row, fp as a signed long; with ``hashed`` also text_hash."""
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
             values = [_signed(fingerprint(text.as_py(), shingle, seed)) for text in texts]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values, pa.int64())], ["doc_id", "fp"])
+            columns = [batch.column("doc_id"), pa.array(values, pa.int64()), *[batch.column(name) for name in more]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", *more])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    more = ["text_hash"] if hashed else []
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"),
+                       *[F.xxhash64(whole_text(text_col)).alias(name) for name in more])
+    return rows.mapInArrow(run, ", ".join(["doc_id long", "fp long", *[f"{name} long" for name in more]]))
 
 
 def embed(fp: np.ndarray) -> np.ndarray:
@@ -171,6 +174,12 @@ def near_links(points: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame
             .mapInArrow(run, "a long, b long"))
 
 
+def _placed(points: DataFrame, max_distance: int) -> DataFrame:
+    """``points`` with the component of each fingerprint."""
+    roots = connected_components(near_links(points, max_distance)).withColumnRenamed("node", "fp")
+    return points.join(roots, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                        max_distance: int = MAX_DISTANCE, seed: int = SEED) -> DataFrame:
     """One row per input row: doc_id, fp (signed long), component_id.
@@ -184,23 +193,30 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     require_columns(docs, [id_col, text_col])
     rows = settle(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
     points = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "points")
-    roots = connected_components(near_links(points, max_distance)).withColumnRenamed("node", "fp")
-    placed = points.join(roots, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    placed = _placed(points, max_distance)
     named = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
     classes = placed.select("fp", "component").join(named, "component").select("fp", "component_id")
     return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                  max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """The rows of the smallest id of every near-duplicate component, one row per id.
+                  max_distance: int = MAX_DISTANCE, without_id: bool = False) -> DataFrame:
+    """One row of every near-duplicate component: that of the smallest id, then of the smallest hash of its text.
 
-    Of rows that repeat such an id, the one with the smallest hash of its text
-    stays. Components without any id are represented by none of their rows.
+    Rows without an id come last. With ``without_id`` a component of such rows
+    alone keeps one of them too, else none. Different texts that bear one id
+    stay, each in its own component.
     """
-    docs = own_columns(docs, ["_place"], [id_col, text_col])
-    kept = (simhash_components(docs, id_col, text_col, shingle, max_distance)
-            .select(F.col("component_id").alias("_kept_id")).distinct())
-    order = Window.partitionBy(id_col).orderBy(F.xxhash64(whole_text(text_col)))
-    return (docs.join(kept, docs[id_col] == kept["_kept_id"], "left_semi")
-            .withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place"))
+    docs = own_columns(docs, ["_place", "_hash", "_kept_id", "_kept_hash"], [id_col, text_col])
+    rows = settle(fingerprints(docs, id_col, text_col, shingle, hashed=True), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")
+    points = settle(rows.groupBy("fp").agg(first), "points")
+    kept = (_placed(points, max_distance).groupBy("component").agg(F.min("first").alias("first"))
+            .select(F.col("first.doc_id").alias("_kept_id"), F.col("first.text_hash").alias("_kept_hash")))
+    if not without_id:
+        kept = kept.filter(F.col("_kept_id").isNotNull())
+    chosen = F.col(id_col).cast("long").eqNullSafe(F.col("_kept_id")) & (F.col("_hash") == F.col("_kept_hash"))
+    # Rows that repeat both id and text are one document.
+    order = Window.partitionBy(id_col, "_hash").orderBy("_hash")
+    return (docs.withColumn("_hash", F.xxhash64(whole_text(text_col))).join(kept, chosen, "left_semi")
+            .withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place", "_hash"))

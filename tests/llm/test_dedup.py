@@ -12,6 +12,7 @@ import xxhash
 sys.path.insert(0, os.path.dirname(__file__))
 from helpers import awkward_rows, clashing, collected, docs  # noqa: E402
 
+from corpus_pipeline import STAGES  # noqa: E402
 from loomledger.llm.exact_dedup import exact_duplicates, tree_merge  # noqa: E402
 from loomledger.llm.line_dedup import delete_repeated_lines  # noqa: E402
 from loomledger.llm.queries import ORACLE_SQL, QUERIES  # noqa: E402
@@ -140,6 +141,16 @@ def test_one_row_of_each_component_stays(spark):
     assert kept == sorted({c for _, _, c in components_brute(rows) if c is not None})
 
 
+def test_the_pipeline_keeps_clean_documents_without_an_id_or_under_one_id(spark):
+    texts = [f"clean text number {i} about {' '.join(hashlib.sha256(str(i).encode()).hexdigest())}" for i in range(6)]
+    rows = [(None, texts[0], "en", "s", 1), (None, texts[1], "en", "s", 1), (None, texts[1], "en", "s", 1), (5, texts[2], "en", "s", 1),
+            (5, texts[3], "en", "s", 1), (7, texts[4], "en", "s", 1), (6, texts[4], "en", "s", 1), (None, texts[4], "en", "s", 1), (8, texts[5], "en", "s", 1)]
+    assert len({c for *_, c in components_brute([(i, *r[1:]) for i, r in enumerate(rows)])}) == 6
+    stage = dict(STAGES)["SimHash near-dedup"]
+    kept = sorted(((r.doc_id, r.text) for r in stage(spark, docs(spark, rows), "").collect()), key=key)
+    assert kept == sorted([(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (6, texts[4]), (8, texts[5])], key=key)
+
+
 def test_simhash_of_an_empty_table(spark):
     assert simhash_components(docs(spark, [])).collect() == []
     assert keep_one_each(docs(spark, [])).collect() == []
