@@ -1,50 +1,103 @@
-"""Line deduplication by winnowing over line hashes.
-
-A document is its sequence of non-blank lines. Windows are the shortest runs of
-lines that hold at least ``min_words`` words, from every line forwards and from
-every line backwards. From each window the smallest line hash is selected as
-fingerprint. Two runs of equal lines with that many words share a whole window,
-and with it the fingerprint: none can be missed.
-
-1. Fingerprints seen at one position only are dropped: pre-aggregated by
-   fingerprint to the first and last position, a line in a third of all documents
-   costs one entry per task.
-2. The remaining windows extend each shared position both ways: all windows
-   around it, forwards and backwards, are compared by a 128-bit hash of their
-   lines. The first occurrence of a window's content is found the same way,
-   and each occurrence joined to that one entry, never to one another.
-3. A window repeats if its content occurs earlier (by id, then line) and not
+"""Line deduplication by windows of units, long lines cut by winnowing.
+
+A document is its sequence of units. A non-blank line of up to ``LONG_LINE`` words is
+one unit. A longer line is cut ahead of the word of smallest hash in every
+run of ``CUT_SPAN`` words (the first, on ties). Where to cut depends on those words alone,
+so a passage is cut alike wherever it stands, but for ``CUT_SPAN - 1`` words at
+either end, and no unit within a line is longer than ``CUT_SPAN`` words. Lines that
+share a passage of ``min_words + 4 * CUT_SPAN - 2`` words therefore share a run of
+units with at least ``min_words`` words, whatever stands around it.
+
+Windows are the shortest runs of units that hold at least ``min_words`` words, from
+every unit forwards and from every unit backwards: every run of equal units with
+that many words is a union of equal windows, so none can be missed.
+
+1. Windows are grouped by a 128-bit hash of their units: each group's first
+   occurrence and size are aggregated before the shuffle, so a line in a third of
+   all documents costs one entry per task.
+2. Every window is joined to the first occurrence of its content, where that has
+   more than one, never to one another.
+3. A window repeats if its content occurs earlier (by id, then unit) and not
    overlapping; the union of a document's repeated windows is what its longest
-   repeated runs cover, and those lines are deleted.
+   repeated runs cover, and those units are deleted.
 
-Blank lines and lines in no repeated run stay as they are.
+Blank lines and units in no repeated run stay as they are. A passage whose words stand in
+a line of up to ``LONG_LINE`` words in one document and in a longer line, or broken
+at other places, in the other is not compared across the two.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomledger.llm.common import own_columns, require_columns, settle, ship_package, whole_text
 
 MIN_WORDS = 10
-_KEYS = ["fp", "content_a", "content_b"]
-
+#: Lines of more words are cut into units.
+LONG_LINE = 30
+CUT_SPAN = 10
+_KEYS = ["content_a", "content_b"]
+_BLANK = " \t\x0b\x0c\r"
+_WORD = re.compile(r"[^ \t\x0b\x0c\r]+")
+#: Hashes of words met by this worker, forgotten when there are too many.
+_HASHES: dict[str, int] = {}
+_MAX_HASHES = 200_000
+
+
+def _cuts(line: str) -> list[tuple[int, int]]:
+    """(start, words) of the units of a long line; the first unit starts with the line."""
+    import xxhash
 
-def document_windows(text: str, min_words: int) -> list[tuple[int, int, int, int, bytes]]:
-    """(first line, last line, fingerprint's line, fingerprint, content hash) of every window."""
+    if len(_HASHES) > _MAX_HASHES:
+        _HASHES.clear()
+    starts, hashes = [], []
+    for found in _WORD.finditer(line):
+        word = found.group()
+        value = _HASHES.get(word)
+        if value is None:
+            value = _HASHES[word] = xxhash.xxh3_64_intdigest(word)
+        starts.append(found.start())
+        hashes.append(value)
+    if len(hashes) < CUT_SPAN:
+        return [(0, len(hashes))]
+    spans = np.lib.stride_tricks.sliding_window_view(np.array(hashes, dtype=np.uint64), CUT_SPAN)
+    at = np.unique(spans.argmin(axis=1) + np.arange(len(spans)))
+    at = [0, *at[at > 0].tolist()]
+    return [(starts[a] if a else 0, b - a) for a, b in zip(at, [*at[1:], len(hashes)], strict=True)]
+
+
+def document_units(text: str) -> list[tuple[int, int, int, int]]:
+    """(line, start, end, words) of every unit, start and end counted in the line."""
+    units = []
+    for number, line in enumerate(text.split("\n")):
+        plain = line.strip(_BLANK)
+        if not plain:
+            continue
+        words = len(plain.split()) or 1
+        if words <= LONG_LINE:
+            units.append((number, 0, len(line), words))
+            continue
+        cuts = _cuts(line)
+        for (start, count), end in zip(cuts, [*[c[0] for c in cuts[1:]], len(line)], strict=True):
+            units.append((number, start, end, count))
+    return units
+
+
+def document_windows(text: str, min_words: int) -> list[tuple[int, int, bytes]]:
+    """(first unit, last unit, content hash) of every window."""
     import xxhash
 
-    places, words, hashes = [], [], []
-    for place, line in enumerate(text.split("\n")):
-        parts = line.strip(" \t\x0b\x0c\r")
-        if parts:
-            places.append(place)
-            words.append(len(parts.split()) or 1)
-            hashes.append(xxhash.xxh3_128_digest(parts))
+    lines = text.split("\n")
+    units = document_units(text)
+    words = [unit[3] for unit in units]
+    hashes = [xxhash.xxh3_128_digest(lines[number][start:end].strip(_BLANK)) for number, start, end, _ in units]
     spans: set[tuple[int, int]] = set()
     total, low = 0, 0
     for high, count in enumerate(words):
@@ -64,36 +117,26 @@ def document_windows(text: str, min_words: int) -> list[tuple[int, int, int, int
             high -= 1
         if total >= min_words:
             spans.add((low, high))
-    out = []
-    for low, high in sorted(spans):
-        if low == high:
-            at, content = low, hashes[low]
-        else:
-            at = min(range(low, high + 1), key=lambda i: hashes[i])
-            content = xxhash.xxh3_128_digest(b"".join(hashes[low:high + 1]))
-        out.append((places[low], places[high], places[at], int.from_bytes(hashes[at][:8], "big", signed=True), content))
-    return out
+    return [(low, high, hashes[low] if low == high else xxhash.xxh3_128_digest(b"".join(hashes[low:high + 1])))
+            for low, high in spans]
 
 
 def window_rows(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
     ship_package(docs.sparkSession)
-    schema = ("doc_id long, doc_hash long, first_line int, last_line int, at_line int, fp long, content_a long, content_b long")
+    schema = "doc_id long, doc_hash long, first_unit int, last_unit int, content_a long, content_b long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
-                columns: list[list] = [[] for _ in range(8)]
-                ids, hashes = part.column("doc_id").to_pylist(), part.column("doc_hash").to_pylist()
-                for doc_id, doc_hash, text in zip(ids, hashes, part.column("text").to_pylist(), strict=True):
-                    for low, high, at, fp, content in document_windows(text, min_words):
-                        row = (doc_id, doc_hash, low, high, at, fp, int.from_bytes(content[:8], "big", signed=True),
-                               int.from_bytes(content[8:], "big", signed=True))
-                        for column, value in zip(columns, row, strict=True):
-                            column.append(value)
-                kinds = [pa.int64()] * 2 + [pa.int32()] * 3 + [pa.int64()] * 3
+                found = [document_windows(text, min_words) for text in part.column("text").to_pylist()]
+                owner = pa.array(np.repeat(np.arange(part.num_rows), [len(windows) for windows in found]))
+                contents = np.frombuffer(b"".join(w[2] for windows in found for w in windows), dtype=">i8").astype(np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], [f.split()[0] for f in schema.split(", ")])
+                    [part.column("doc_id").take(owner), part.column("doc_hash").take(owner),
+                     pa.array([w[0] for windows in found for w in windows], pa.int32()),
+                     pa.array([w[1] for windows in found for w in windows], pa.int32()),
+                     pa.array(contents[:, 0]), pa.array(contents[:, 1])], [f.split()[0] for f in schema.split(", ")])
 
     text = whole_text(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("doc_hash"), text.alias("text"))
@@ -103,39 +146,66 @@ def window_rows(docs: DataFrame, id_col: str, text_col: str, min_words: int) ->
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, doc_hash, spans): the windows of each document that occur earlier."""
     windows = settle(window_rows(docs, id_col, text_col, min_words), "windows")
-    spot = F.struct("doc_id", "doc_hash", "at_line")
-    shared = (windows.groupBy("fp").agg(F.min(spot).alias("a"), F.max(spot).alias("b"))
-              .filter(~F.col("a").eqNullSafe(F.col("b"))).select("fp"))
     origin = (windows.groupBy(*_KEYS)
-              .agg(F.min(F.struct("doc_id", "doc_hash", "first_line", "last_line")).alias("origin"), F.count(F.lit(1)).alias("n"))
-              .filter("n > 1").drop("n").join(shared, "fp", "left_semi"))
+              .agg(F.min(F.struct("doc_id", "doc_hash", "first_unit", "last_unit")).alias("origin"), F.count(F.lit(1)).alias("n"))
+              .filter("n > 1").drop("n"))
     same = F.col("doc_id").eqNullSafe(F.col("origin.doc_id")) & (F.col("doc_hash") == F.col("origin.doc_hash"))
-    later = ~same | (F.col("first_line") > F.col("origin.last_line"))
+    later = ~same | (F.col("first_unit") > F.col("origin.last_unit"))
     return (windows.join(origin, _KEYS).filter(later)
-            .groupBy("doc_id", "doc_hash").agg(F.collect_set(F.struct("first_line", "last_line")).alias("spans")))
+            .groupBy("doc_id", "doc_hash").agg(F.collect_set(F.struct("first_unit", "last_unit")).alias("spans")))
+
+
+def without_units(text: str, spans: list[tuple[int, int]]) -> tuple[str, int]:
+    """The text without the units of the spans, and how many lines went with them."""
+    lines = text.split("\n")
+    units = document_units(text)
+    gone = np.zeros(len(units) + 1, dtype=np.int64)
+    for first, last in spans:
+        gone[first] += 1
+        gone[last + 1] -= 1
+    gone = np.cumsum(gone) > 0
+    parts: dict[int, list[tuple[bool, str]]] = {}
+    for out, (number, start, end, _) in zip(gone.tolist(), units, strict=False):
+        parts.setdefault(number, []).append((out, lines[number][start:end]))
+    kept = []
+    for number, line in enumerate(lines):
+        of_line = parts.get(number, [])
+        if not any(out for out, _ in of_line):
+            kept.append(line)
+        elif not all(out for out, _ in of_line):
+            rest = "".join(piece for out, piece in of_line if not out)
+            kept.append(rest.rstrip(_BLANK) if of_line[-1][0] else rest)
+    return "\n".join(kept), len(lines) - len(kept)
 
 
 def delete_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """The input rows with later repeated runs deleted, plus n_lines and deleted_lines.
 
-    Runs of at least ``min_words`` words count. Lines are compared without white
-    space at their ends. Earlier means a smaller id, then an earlier line; rows
+    Runs of at least ``min_words`` words count. Units are compared without white
+    space at their ends. Earlier means a smaller id, then an earlier unit; rows
     without an id come first. Rows that repeat id and text are one document and
-    are treated alike. Null text stays null, with no lines. Extra columns
+    are treated alike. ``deleted_lines`` counts lines that went whole; a line may
+    also lose some of its units. Null text stays null, with no lines. Extra columns
     n_lines, deleted_lines or spans are replaced or left out.
     """
     require_columns(docs, [id_col, text_col])
     docs = own_columns(docs, ["n_lines", "deleted_lines", "spans", "_doc_id", "_doc_hash", "doc_hash"], [id_col, text_col])
     spans = repeated_spans(docs, id_col, text_col, min_words).withColumnsRenamed({"doc_id": "_doc_id", "doc_hash": "_doc_hash"})
-    lines = F.split(F.col(text_col), "\n", -1)
-    deleted = lambda i: F.exists("spans", lambda s: (s["first_line"] <= i) & (i <= s["last_line"]))
-    blank = lambda line: F.trim(F.translate(line, "\t\x0b\x0c\r", "    ")) == ""
-    kept = F.filter(lines, lambda line, i: blank(line) | ~deleted(i))
     joined = docs.join(
         spans, F.col(id_col).cast("long").eqNullSafe(F.col("_doc_id")) & (F.xxhash64(whole_text(text_col)) == F.col("_doc_hash")), "left")
-    hit = F.col("spans").isNotNull()
-    return (joined.withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long"))
-            .withColumn("_kept", F.when(hit, kept))
-            .withColumn("deleted_lines", F.when(hit, F.col("n_lines") - F.size("_kept")).otherwise(0).cast("long"))
-            .withColumn(text_col, F.when(hit, F.array_join("_kept", "\n")).otherwise(F.col(text_col)))
-            .select(*docs.columns, "n_lines", "deleted_lines"))
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, found = batch.column(text_col).to_pylist(), batch.column("spans").to_pylist()
+            n_lines = [0 if text is None else text.count("\n") + 1 for text in texts]
+            deleted = [0] * len(texts)
+            for i, of_text in enumerate(found):
+                if of_text is not None:
+                    texts[i], deleted[i] = without_units(texts[i], [(s["first_unit"], s["last_unit"]) for s in of_text])
+            columns = [pa.array(texts, pa.string()) if name == text_col else batch.column(name) for name in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(deleted, pa.int64())],
+                                             [*names, "n_lines", "deleted_lines"])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("deleted_lines", T.LongType())])
+    return joined.select(*names, "spans").mapInArrow(run, schema)

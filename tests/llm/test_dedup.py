@@ -98,6 +98,23 @@ def test_line_dedup_equals_all_repeated_runs(spark):
     assert sorted(((r[0], r[1]) for r in got), key=key) == sorted(((r[0], expected[r[0], r[1]]) for r in rows), key=key)
 
 
+@pytest.mark.parametrize("size", [60, 48])
+def test_line_dedup_finds_a_passage_inside_two_different_lines(spark, size):
+    rnd = np.random.default_rng(size)
+    word = lambda: "".join(chr(97 + c) for c in rnd.integers(0, 26, 6))
+    passage = [word() for _ in range(size)]
+    around = [[word() for _ in range(n)] for n in (70, 90, 40, 25)]
+    first, second = around[0] + passage + around[1], around[2] + passage + around[3]
+    rows = [(1, " ".join(first), "en", "s", 1), (2, "a short line\n" + " ".join(second) + "\nits end", "en", "s", 1)]
+    got = {r.doc_id: r for r in delete_repeated_lines(docs(spark, rows)).collect()}
+    assert got[1].text == rows[0][1] and got[2].n_lines == 3 and got[2].deleted_lines == 0
+    lines = got[2].text.split("\n")
+    left = lines[1].split()
+    assert (lines[0], lines[2]) == ("a short line", "its end")
+    gone = [w for w in second if w not in left]
+    assert 10 <= len(gone) and set(gone) <= set(passage) and left == [w for w in second if w in left]
+
+
 def test_line_dedup_of_an_empty_table(spark):
     assert delete_repeated_lines(docs(spark, [])).collect() == []
 
