@@ -19,7 +19,7 @@ from loomledger.llm.ann import encode, nearest  # noqa: E402
 from loomledger.llm.common import table  # noqa: E402
 from loomledger.llm.langid import document_rows, identify, keep_identified, page_rows  # noqa: E402
 from loomledger.llm.mixing import Recipe, allocate, fill_targets, mixed_rows, split_quotas  # noqa: E402
-from loomledger.llm.quality import quality, train, word_keys  # noqa: E402
+from loomledger.llm.quality import quality, quantiles, train, word_keys  # noqa: E402
 from loomledger.llm.suffix_tree import SuffixAutomaton, kept_contexts, score_documents, string_counts  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -221,6 +221,30 @@ def test_quality_separates_the_labelled_rows(spark):
     assert sum(r.kept for r in good) >= 0.97 * len(good) and sum(not r.kept for r in bad) >= 0.8 * len(bad)
 
 
+def test_thresholds_are_those_of_all_trusted_rows_outside_the_training(spark):
+    sf = "/root/testdata/sf0.01"
+    documents = table(spark, sf, "documents").withColumn("lang", F.when(F.col("doc_id") % 5 > 0, F.col("lang")))
+    good = table(spark, sf, "labels").filter("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id").distinct()
+    sample = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(60)
+    trained = {r.doc_id for r in sample.filter(F.pmod(F.xxhash64(F.lit(3), F.col("doc_id")), F.lit(3)) != 0).collect()}
+    outside = {r.doc_id for r in good.collect()} - trained
+    judged = quality(documents, table(spark, sf, "labels"), max_trusted=60).collect()
+    for lang in {r.lang for r in judged}:
+        held = [r.perplexity for r in judged if r.lang == lang and r.doc_id in outside]
+        limits = {r.threshold for r in judged if r.lang == lang}
+        if held:
+            assert list(limits) == [pytest.approx(1.25 * np.quantile(held, 0.99), rel=1e-9)]
+    assert len(outside) > 60
+
+
+def test_quantiles_equal_those_of_numpy(spark):
+    rng = np.random.default_rng(5)
+    rows = [("a", float(x)) for x in np.exp(rng.normal(5, 1, 999))] + [("b", 7.5)] * 40 + [("b", 9.0)] * 3 + [("c", 3.0)] + [("d", 1.0), ("d", 2.0)]
+    for q in (0.0, 0.5, 0.99, 1.0):
+        got = {r.key: r.value for r in quantiles(spark.createDataFrame(rows, "key string, perplexity double"), q).collect()}
+        assert got == {k: pytest.approx(np.quantile([x for key, x in rows if key == k], q), rel=1e-12) for k in "abcd"}
+
+
 def test_quality_takes_awkward_rows(spark):
     rows = awkward_rows()
     labels = spark.createDataFrame([(i, 1, 0) for i in range(40)] + [(2, 1, 0), (41, 0, 1), (None, 1, None), (42, None, None)],
