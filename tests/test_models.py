@@ -1,27 +1,15 @@
 """Edge rows through staging, business rules and marts."""
 
-import json
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from support import T0, envelopes
 
 from loomledger.functions import columns as c
 from loomledger.plans import intermediate, marts, strict
 from loomledger.plans.entities import ENTITIES
 from loomledger.plans.staging import stage
-from loomledger.sources.envelope import ENVELOPE
-
-T0 = datetime(2026, 1, 10)
-
-
-def envelopes(spark, entity, payloads):
-    """payloads: (ingested_at, version, batch, payload dict or text)."""
-    spec = ENTITIES[entity]
-    rows = [(spec.source, spec.name, at, version, batch, data if isinstance(data, str) or data is None else json.dumps(data))
-            for at, version, batch, data in payloads]
-    return spark.createDataFrame(rows, ENVELOPE)
-
 
 def staged(spark, entity, payloads):
     return {row[ENTITIES[entity].key]: row for row in stage(envelopes(spark, entity, payloads), ENTITIES[entity]).collect()}

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
-from test_models import T0, envelopes
+from support import T0, envelopes
 
 from loomledger import session
 from loomledger.plans import quality as q
