@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from loomledger.llm.ann import nearest
 from loomledger.llm.common import table
 from loomledger.llm.exact_dedup import exact_duplicates
+from loomledger.llm.fingerprints import edit_likeness
 from loomledger.llm.langid import document_rows, identify, page_rows
 from loomledger.llm.line_dedup import delete_repeated_lines
+from loomledger.llm.merkle import merkle_manifest
 from loomledger.llm.mixing import allocate
 from loomledger.llm.packing import pack_documents
 from loomledger.llm.quality import quality
@@ -70,6 +72,16 @@ def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_likeness(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    odd_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    found = F.when(odd_out, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle_manifest(table(spark, sf_dir, "documents"), found).drop("proof")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_one_bit_codes": op2_one_bit_codes,
@@ -81,9 +93,83 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_language_id": op9_language_id,
     "op10_suffix_tree": op10_suffix_tree,
+    "op12_winnowing": op12_winnowing,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
+
+
+def crc32_sql(digits: str) -> str:
+    """The unsigned CRC-32 of an ASCII text, as SQL."""
+    octet = f"list_transform(range(1, length({digits}) + 1), lambda i: ascii(substring({digits}, i::INTEGER, 1))::UBIGINT)"
+    eight = "list_reduce(list_prepend(xor(state, octet), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]), " \
+            "lambda s, z: xor(s >> 1, 3988292384::UBIGINT * (s & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {octet}), lambda state, octet: {eight}), 4294967295::UBIGINT)"
+
+
+#: Levels that the SQL of op13 can climb: enough for 3**16 leaves of a source, and as many sources.
+_LEVELS = 16
+
+
+def _tree_sql(leaves: str, up: str) -> tuple[str, str, str]:
+    """Tables of a tree's levels over ``leaves`` (tree, place, n, digest): (tables, level prefix, last level)."""
+    tables = [f"{up}0 AS (SELECT tree, place, n, digest FROM {leaves})"]
+    for k in range(_LEVELS):
+        tables.append(
+            f"{up}{k + 1} AS (SELECT tree, place // 3 AS place, CASE WHEN max(n) > 1 THEN (max(n) + 2) // 3 ELSE 1 END AS n, "
+            f"CASE WHEN max(n) > 1 THEN sha256(string_agg(digest, '' ORDER BY place)) ELSE max(digest) END AS digest "
+            f"FROM {up}{k} GROUP BY tree, place // 3)")
+    return ", ".join(tables), up, f"{up}{_LEVELS}"
+
+
+def _climb_sql(up: str, start: str, name: str) -> str:
+    """Tables that carry (id, tree, place, proof, folded) of ``start`` to the top of its tree."""
+    tables = [f"{name}0 AS (SELECT * FROM {start})"]
+    for k in range(_LEVELS):
+        tables.append(
+            f"{name}{k + 1} AS (SELECT c.id, c.tree, c.place // 3 AS place, "
+            f"CASE WHEN any_value(s.n) > 1 THEN any_value(c.proof) || coalesce(string_agg(s.digest, '' ORDER BY s.place) "
+            f"FILTER (s.place <> c.place), '') ELSE any_value(c.proof) END AS proof, "
+            f"CASE WHEN any_value(s.n) > 1 THEN sha256(string_agg(CASE WHEN s.place = c.place THEN c.folded ELSE s.digest END, '' "
+            f"ORDER BY s.place)) ELSE any_value(c.folded) END AS folded "
+            f"FROM {name}{k} c JOIN {up}{k} s ON s.tree = c.tree AND s.place // 3 = c.place // 3 GROUP BY c.id, c.tree, c.place)")
+    return ", ".join(tables)
+
+
+def _merkle_sql() -> str:
+    def digest(text: str) -> str:
+        parts = " || ".join(
+            f"coalesce(strlen({v}) || ':' || {v}, '-')"
+            for v in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text))
+        return f"sha256({parts})"
+
+    lower, _, roots = _tree_sql("leaves", "a")
+    upper, _, root = _tree_sql("sources", "b")
+    tampered = f"CASE WHEN {crc32_sql('CAST(doc_id AS VARCHAR)')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END"
+    return f"""
+        WITH hashed AS (
+            SELECT row_number() OVER () AS id, doc_id, coalesce('1' || source, '0') AS tree, {digest('text')} AS digest,
+                   {digest(tampered)} AS folded FROM documents),
+        leaves AS (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS place,
+                   count(*) OVER (PARTITION BY tree) AS n FROM hashed),
+        {lower},
+        sources AS (
+            SELECT '' AS tree, row_number() OVER (ORDER BY encode(tree)) - 1 AS place, count(*) OVER () AS n, digest,
+                   tree AS name FROM {roots}),
+        {upper},
+        {_climb_sql('a', "(SELECT id, tree, place, '' AS proof, folded FROM leaves)", 'c')},
+        joined AS (
+            SELECT c.id, '' AS tree, s.place, c.proof, c.folded FROM c{_LEVELS} c JOIN sources s ON s.name = c.tree),
+        {_climb_sql('b', 'joined', 'd')}
+        SELECT l.doc_id, l.digest AS leaf, a.digest AS subroot, b.digest AS root, sha256(d.proof) AS proof_sha256,
+               d.folded AS folded_root, d.folded = b.digest AS verified
+        FROM leaves l JOIN {roots} a USING (tree) CROSS JOIN {root} b JOIN d{_LEVELS} d USING (id)
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op13_merkle_manifest": _merkle_sql(),
     "op4_exact_dedup": r"""
         WITH plain AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,
