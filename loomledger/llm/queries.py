@@ -16,6 +16,7 @@ from loomledger.llm.line_dedup import delete_repeated_lines
 from loomledger.llm.merkle import merkle_manifest
 from loomledger.llm.mixing import allocate
 from loomledger.llm.packing import pack_documents
+from loomledger.llm.prefix_tries import family_trie
 from loomledger.llm.quality import quality
 from loomledger.llm.simhash import simhash_components
 from loomledger.llm.suffix_tree import score_documents
@@ -72,6 +73,10 @@ def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return family_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_likeness(table(spark, sf_dir, "documents"))
 
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_language_id": op9_language_id,
     "op10_suffix_tree": op10_suffix_tree,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_winnowing": op12_winnowing,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
@@ -168,7 +174,51 @@ def _merkle_sql() -> str:
     """
 
 
+def _trie_sql() -> str:
+    key = "sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))"
+    return f"""
+        WITH turns AS (
+            SELECT conv_id, {key} AS key, length(coalesce(text, '')) AS chars,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, {key}) - 1 AS place
+            FROM conversations WHERE conv_id IS NOT NULL),
+        convs AS (
+            SELECT conv_id, conv_id - conv_id % 100 AS lender, {crc32_sql('CAST(conv_id AS VARCHAR)')} % 6 AS h
+            FROM (SELECT DISTINCT conv_id FROM turns)),
+        rebuilt AS (
+            SELECT c.conv_id, t.place, t.key, t.chars FROM convs c JOIN turns t ON t.conv_id = c.lender AND t.place < c.h
+            UNION ALL
+            SELECT c.conv_id, t.place - c.h + least(c.h, coalesce(l.n, 0)), t.key, t.chars
+            FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place >= c.h
+            LEFT JOIN (SELECT conv_id, count(*) AS n FROM turns GROUP BY 1) l ON l.conv_id = c.lender),
+        members AS (
+            SELECT conv_id, 0 AS depth, '' AS path, NULL AS parent, 0 AS chars FROM convs
+            UNION ALL
+            SELECT conv_id, place + 1, string_agg(key, '') OVER through,
+                   coalesce(string_agg(key, '') OVER (through ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), ''), chars
+            FROM rebuilt WINDOW through AS (PARTITION BY conv_id ORDER BY place)),
+        nodes AS (
+            SELECT path, depth, parent, any_value(chars) AS chars, min(conv_id) AS conv_id, count(*) AS n_convs
+            FROM members GROUP BY path, depth, parent),
+        lengths AS (SELECT conv_id, max(depth) AS depth FROM members GROUP BY 1),
+        ends AS (
+            SELECT m.path, string_agg(m.conv_id, ',' ORDER BY m.conv_id) AS ids
+            FROM members m JOIN lengths USING (conv_id, depth) GROUP BY 1),
+        children AS (SELECT parent AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+        sums AS (
+            SELECT above.path, count(*) FILTER (children.path IS NULL) AS n_leaves,
+                   sum((below.n_convs - 1) * below.chars) AS saved_tokens
+            FROM nodes below LEFT JOIN children USING (path)
+            JOIN members above ON above.conv_id = below.conv_id AND above.depth <= below.depth GROUP BY 1)
+        SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+               coalesce(c.n_children, 0) AS n_children, s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens,
+               sha256(coalesce(e.ids, '')) AS ends_sha256
+        FROM nodes n LEFT JOIN nodes p ON p.path = n.parent LEFT JOIN children c ON c.path = n.path
+        JOIN sums s ON s.path = n.path LEFT JOIN ends e ON e.path = n.path
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_prefix_trie": _trie_sql(),
     "op13_merkle_manifest": _merkle_sql(),
     "op4_exact_dedup": r"""
         WITH plain AS (
