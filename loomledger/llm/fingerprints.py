@@ -29,7 +29,7 @@ from loomledger.llm.common import require_columns, ship_package, whole_text
 
 GRAM = 16
 WINDOW = 64
-RANGE_BYTES = 64 << 20
+RANGE_BYTES = 32 << 20
 #: Quantiles of ids; each cell between two is split further where there are more ranges than cells.
 CELLS = 64
 _BASE = 0x9E3779B97F4A7C15
@@ -149,8 +149,8 @@ def _block_of(column: Column, cuts: list[int], split: int) -> Column:
     return (F.lit(cells - 1) - cell) * split + F.least(F.greatest(part, F.lit(0)), F.lit(split - 1))
 
 
-def _in_blocks(docs: DataFrame, range_bytes: int) -> DataFrame:
-    """Rows (block, borrowed, doc_id, tie, text): every block with the first document of the next one.
+def _in_blocks(docs: DataFrame, range_bytes: int) -> tuple[DataFrame, int]:
+    """Rows (block, borrowed, doc_id, tie, text), every block with the first document of the next one, and the number of blocks.
 
     Blocks are numbered in the order in which documents follow each other, descending.
     Few numbers reach the driver: sizes and at most ``CELLS`` quantiles.
@@ -185,7 +185,8 @@ def _in_blocks(docs: DataFrame, range_bytes: int) -> DataFrame:
         F.col("doc_id") == F.col("_id"))
     borrowed = rows.join(F.broadcast(heads), first).select(
         F.col("_to").alias("block"), F.lit(True).alias("borrowed"), "doc_id", "tie", "text")
-    return rows.select("block", F.lit(False).alias("borrowed"), "doc_id", "tie", "text").union(borrowed)
+    blocks = max(1, named + max(0, len(tie_cuts) - 1) * split)
+    return rows.select("block", F.lit(False).alias("borrowed"), "doc_id", "tie", "text").union(borrowed), blocks
 
 
 _PAIRS = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -241,7 +242,8 @@ def edit_likeness(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, range
     """
     require_columns(docs, ["doc_id", "text"])
     ship_package(docs.sparkSession)
-    rows = _in_blocks(docs, range_bytes)
+    rows, blocks = _in_blocks(docs, range_bytes)
     order = [F.col("block"), F.col("borrowed"), F.col("doc_id").desc_nulls_last(), F.col("tie").desc(), F.col("text")]
-    return rows.repartition("block").sortWithinPartitions(*order).select("block", "borrowed", "doc_id", "text").mapInArrow(
+    # A task per block: a hash would put several together.
+    return rows.repartitionById(blocks, F.col("block").cast("int")).sortWithinPartitions(*order).select("block", "borrowed", "doc_id", "text").mapInArrow(
         lambda batches: _pair_task(batches, gram, window), _PAIRS)
