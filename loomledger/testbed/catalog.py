@@ -36,6 +36,7 @@ def load() -> dict[str, Query]:
     from loomledger.testbed import (  # noqa: F401
         cases_columns,
         cases_generate,
+        cases_incremental,
         cases_models,
         cases_operators,
         cases_quality,
