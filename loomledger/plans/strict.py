@@ -14,16 +14,19 @@ from pyspark.sql import functions as F
 from loomledger.functions import columns as c
 from loomledger.functions import strict as st
 from loomledger.operators.latest import latest_version
+from loomledger.plans import units
 from loomledger.plans.entities import Entity
 from loomledger.plans.intermediate import completed_draws
 from loomledger.plans.staging import METADATA, cleansed
+from loomledger.plans.units import written
 from loomledger.sources.envelope import route
 
 
-def parsed_any_case(raw: DataFrame, entity: Entity) -> DataFrame:
+def parsed_any_case(raw: DataFrame, entity: Entity, marked: bool = False) -> DataFrame:
     """Payload keys as text columns, matched after snake-casing them.
 
-    The exact spelling wins when a payload carries both.
+    The exact spelling wins when a payload carries both. With ``marked``, a payload
+    that is not a JSON object is kept whole in the column that staging ranks last.
     """
     keyed = (
         route(raw, entity)
@@ -36,8 +39,15 @@ def parsed_any_case(raw: DataFrame, entity: Entity) -> DataFrame:
         by_case = F.get("_values", (F.array_position("_names", name) - 1).cast("int"))
         return F.coalesce(F.try_element_at("_map", F.lit(name)), by_case).alias(name)
 
+    mark = [F.when(F.col("_map").isNull(), F.col("data")).alias(c.MALFORMED)] if marked else []
     return keyed.select(
-        *[field(name) for name in entity.columns], *METADATA, "_batch_id", F.xxhash64("data").alias("_payload_hash"))
+        *[field(name) for name in entity.columns], *METADATA, "_batch_id", F.xxhash64("data").alias("_payload_hash"), *mark)
+
+
+def parsed_once(raw: DataFrame, entity: Entity) -> DataFrame:
+    """``parsed_any_case`` with malformed payloads marked and blanks as NULL, written once for all that follows."""
+    rows = parsed_any_case(raw, entity, marked=True)
+    return written(blanks_to_null(rows, entity), f"strict-{entity.name}")
 
 
 def blanks_to_null(text_rows: DataFrame, entity: Entity) -> DataFrame:
@@ -92,6 +102,21 @@ def stage_strict(raw: DataFrame, entity: Entity) -> DataFrame:
     return latest_version(rows, entity.key, not entity.key_required).select(*entity.columns, *METADATA)
 
 
+def stage_recovered(raw: DataFrame, entity: Entity) -> DataFrame:
+    """The staging relation with all recoveries: one scan and one parse of the raw events.
+
+    The parsed rows are written; units are inferred from them batch by batch
+    (``units``) and the rows are read back once more. Inverted exchange rates are turned.
+    """
+    rows = cleansed(units.to_major_units(parsed_once(raw, entity), entity), with_any_dates(entity))
+    staged = latest_version(rows, entity.key, not entity.key_required).select(*entity.columns, *METADATA)
+    if "rate" not in entity.columns:
+        return staged
+    # Written, as the rates of a pair are first summed up and then held against their typical value.
+    turned = direct_rates(written(staged, f"strict-{entity.name}"))
+    return turned.withColumn("rate", F.col("effective_rate")).select(*entity.columns, *METADATA)
+
+
 def direct_rates(fx_transactions: DataFrame) -> DataFrame:
     """Transactions with inverted rates turned round.
 

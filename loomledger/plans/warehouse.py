@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from loomledger.plans import intermediate, marts
 from loomledger.plans.entities import ENTITIES
 from loomledger.plans.staging import newest_ingestion, stage
+from loomledger.plans.strict import stage_recovered
 
 RawSource = Callable[[str], DataFrame]
 
@@ -25,14 +26,17 @@ class Warehouse:
 
     ``raw`` gives the envelopes of an entity by name. Nothing is computed
     until an action; asking for one model plans only what it depends on.
-    ``tables`` replaces models by already written ones.
+    ``tables`` replaces models by already written ones. ``strict`` reads the raw
+    events with all recoveries (``strict.stage_recovered``), whose parsed rows are
+    written as soon as a model needs them.
     """
 
     def __init__(self, spark: SparkSession, raw: RawSource, now: Column | None = None,
-                 tables: dict[str, DataFrame] | None = None):
+                 tables: dict[str, DataFrame] | None = None, strict: bool = False):
         self.spark = spark
         self.raw = raw
         self.now = now
+        self.strict = strict
         self.tables = dict(tables or {})
         self._lazy: dict[str, DataFrame] = {}
 
@@ -44,6 +48,8 @@ class Warehouse:
         so only the named keys are asked for in the first place.
         """
         spec = ENTITIES[entity]
+        if self.strict:
+            return self._model(spec.table, lambda: stage_recovered(self.raw(entity), spec))
         if spec.table in self.tables or not columns:
             return self._model(spec.table, lambda: stage(self.raw(entity), spec))
         narrow = spec.only(*columns)
@@ -67,8 +73,8 @@ class Warehouse:
     @cached_property
     def as_of(self) -> Column:
         subscriptions = ENTITIES["subscriptions"]
-        if subscriptions.table in self.tables:
-            newest = self.tables[subscriptions.table].agg(F.max("_ingested_at").alias("newest"))
+        if self.strict or subscriptions.table in self.tables:
+            newest = self.staged("subscriptions").agg(F.max("_ingested_at").alias("newest"))
         else:
             newest = newest_ingestion(self.raw("subscriptions"), subscriptions)
         return intermediate.as_of_instant(newest, self.now)

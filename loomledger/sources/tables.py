@@ -71,7 +71,7 @@ def build(warehouse: Warehouse, folder: str, with_intermediate: bool = False) ->
     several times.
     """
     spark = warehouse.spark
-    built = Warehouse(spark, warehouse.raw, warehouse.now)
+    built = Warehouse(spark, warehouse.raw, warehouse.now, strict=warehouse.strict)
     for name, entity in ENTITIES.items():
         built.tables[entity.table] = materialise(spark, warehouse.staged(name), f"{folder}/staging/{entity.table}")
     if with_intermediate:

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomledger.functions import columns as c
 from loomledger.functions import strict as st
-from loomledger.plans import strict
+from loomledger.plans import strict, units
 from loomledger.plans.entities import ENTITIES
+from loomledger.sources.tables import MART_SCHEMAS
 from loomledger.testbed import landing as ld
 from loomledger.testbed.cases_columns import scalar
 from loomledger.testbed.catalog import register
-from loomledger.testbed.oracle import CTES
+from loomledger.testbed.oracle import CTES, ing
 
 _LATEST_LINE = ("QUALIFY row_number() OVER (PARTITION BY drawdown_id ORDER BY _ingested_at DESC, l_partkey DESC, "
                 "l_suppkey DESC, l_extendedprice DESC) = 1")
@@ -117,3 +120,69 @@ register("risk_rating_allowlist",
              "application_id", st.risk_rating(F.col("risk_rating")).alias("risk_rating")),
          "application_id risk_rating",
          "SELECT application_id, CASE WHEN risk_rating <> 'N/A' THEN risk_rating END AS risk_rating FROM s_loan_applications")
+
+
+# --- the strict warehouse -------------------------------------------------------
+
+# Expected strict staging: the default one without its losses. Days whose events are too few to tell
+# the unit of their amounts keep them as they came.
+_COPIES = {"subscriptions": "SELECT {0} AS _ingested_at FROM (SELECT *, unnest(CASE WHEN event_id % 40 = 0 THEN [0, 1] "
+                            "ELSE [0] END) AS copy FROM events)",
+           "credit_facilities": "SELECT {0} AS _ingested_at FROM (SELECT *, unnest(CASE WHEN o_orderkey % 25 = 0 THEN [0, 1] "
+                                "ELSE [0] END) AS copy FROM orders)"}
+_COPY_TIMES = {"subscriptions": ing("event_id * 7 % 30", "(event_id % 86400) + copy", "event_id % 20 = 7", "event_id % 15"),
+               "credit_facilities": ing("o_orderkey * 17 % 30", "(o_orderkey % 86400) + copy", "o_orderkey % 20 = 13", "o_orderkey % 15")}
+_MODELS = [f"s_{name}" for name in ENTITIES] + [
+    "eur_rate", "mrr", "int_arr", "drawn_facility", "int_util", "metric_pair", "main_currency", "funded", "dim_c", "dim_f",
+    "fct_d", "fct_r", "fct_x"]
+
+
+def _without_losses(entity: str, sql: str) -> str:
+    for loss, recovered in [
+        ("CASE WHEN day(_ingested_at) NOT IN (8, 20) THEN", "CASE WHEN TRUE THEN"),
+        ("WHEN day(_ingested_at) IN (12, 14) THEN", f"WHEN day(_ingested_at) IN (12, 14) AND CAST(_ingested_at AS DATE) "
+                                                    f"NOT IN (SELECT day FROM told_{entity}) THEN"),
+        (") IN (1, 2, 4) THEN NULL", ") = 2 THEN NULL"), (") = 3 THEN date_trunc", ") IN (1, 3, 4) THEN date_trunc"),
+        ("% 13 = 0 THEN ''", "% 13 = 0 THEN NULL"), ("'high', 'N/A'", "'high', NULL")]:
+        sql = sql.replace(loss, recovered)
+    return sql
+
+
+for _name in ENTITIES:
+    _times = _COPIES[_name].format(_COPY_TIMES[_name]) if _name in _COPIES else f"SELECT _ingested_at FROM f_{_name}"
+    CTES[f"told_{_name}"] = (f"SELECT CAST(_ingested_at AS DATE) AS day, count(*) AS events FROM ({_times}) "
+                             f"GROUP BY 1 HAVING count(*) >= {units.MIN_ROWS}")
+for _model in _MODELS:
+    _sql = re.sub(rf"\b({'|'.join(_MODELS)})\b", r"strict_\1", CTES[_model])
+    if _model == "s_fx_transactions":
+        CTES["untold_fx"] = _without_losses("fx_transactions", _sql)
+        _sql = """
+        SELECT f.* EXCLUDE (typical) REPLACE (CASE WHEN rate > 0 AND typical > 0
+            AND abs(ln(1 / rate / typical)) < abs(ln(rate / typical)) THEN 1 / rate ELSE rate END AS rate)
+        FROM (SELECT * FROM untold_fx LEFT JOIN (
+            SELECT base_currency, quote_currency, quantile_disc(rate, 0.5) AS typical FROM untold_fx WHERE rate > 0
+            GROUP BY 1, 2) USING (base_currency, quote_currency)) f"""
+    elif _model.startswith("s_"):
+        _sql = _without_losses(_model[2:], _sql)
+    CTES[f"strict_{_model}"] = _sql
+
+_METADATA = ["_ingested_at", "_schema_version"]
+for _entity in ENTITIES.values():
+    register(f"strict_stg_{_entity.name}", lambda s, d, name=_entity.name: ld.strict_warehouse(s, d).staged(name),
+             " ".join([*_entity.columns, *_METADATA]), f"SELECT * FROM strict_s_{_entity.name}")
+for _mart, _sql in [("dim_customers", "dim_c"), ("dim_credit_facilities", "dim_f"), ("fct_drawdowns", "fct_d"),
+                    ("fct_repayments", "fct_r"), ("fct_fx_transactions", "fct_x")]:
+    register(f"strict_{_mart}", lambda s, d, name=_mart: ld.strict_warehouse(s, d).model(name),
+             " ".join(field.split()[0] for field in re.split(r", (?=[a-z_]+ [a-z])", MART_SCHEMAS[_mart])),
+             f"SELECT * FROM strict_{_sql}")
+
+
+def _decisions(s, d: str) -> DataFrame:
+    found = units.unit_decisions(strict.parsed_once(_raw(s, d), _D), _D)
+    return found.select(F.col("_day").cast(c.NTZ).alias("month"), "column", "rows", "decision")
+
+
+register("unit_decisions", _decisions, "month column rows decision",
+         "SELECT date_trunc('day', _ingested_at) AS month, 'amount' AS \"column\", count(*) AS rows, "
+         f"CASE WHEN count(*) < {units.MIN_ROWS} THEN 'undecided' WHEN day(date_trunc('day', _ingested_at)) IN (12, 14) THEN 'minor' "
+         "ELSE 'major' END AS decision FROM f_drawdowns GROUP BY date_trunc('day', _ingested_at)")

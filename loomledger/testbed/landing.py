@@ -426,6 +426,17 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(spark, lambda entity: raw_events(spark, sf_dir, entity), now=c.ntz(NOW))
 
 
+_STRICT: dict[tuple[str, str], Warehouse] = {}
+
+
+def strict_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The warehouse with all recoveries, whose parsed rows are shared by all jobs of the session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STRICT:
+        _STRICT[key] = Warehouse(spark, lambda entity: raw_events(spark, sf_dir, entity), now=c.ntz(NOW), strict=True)
+    return _STRICT[key]
+
+
 _BUILT: dict[tuple[str, str], Warehouse] = {}
 
 
