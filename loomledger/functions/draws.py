@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SCALE = 4294967296.0
+# 52 bits: exact in a double, and no two rows of a large table share a draw by chance.
+_SCALE = 4503599627370496.0
 
 
 class Draws:
@@ -26,7 +27,7 @@ class Draws:
 
     def uniform(self, purpose: str) -> Column:
         """In [0, 1)."""
-        return F.conv(F.substring(self.digest(purpose), 1, 8), 16, 10).cast("double") / F.lit(_SCALE)
+        return F.conv(F.substring(self.digest(purpose), 1, 13), 16, 10).cast("double") / F.lit(_SCALE)
 
     def chance(self, purpose: str, p: float) -> Column:
         return self.uniform(purpose) < p

@@ -98,7 +98,7 @@ def dirty_events(rows: DataFrame, entity: Entity, plan: Plan) -> DataFrame:
     draws = {f"_form_{name}": row.uniform(f"{name}/form") for name in dates}
     draws |= {f"_type_{name}": batch.uniform(f"{name}/type") for name in amounts}
     draws |= {f"_key_{name}": batch.uniform(f"{name}/key") for name in names if name in rt.KEY_VARIANTS}
-    draws |= {"_drift": batch.uniform("drift"), "_late": row.uniform("late"), "_tag": F.substring(row.digest("tag"), 1, 8)}
+    draws |= {"_drift": batch.uniform("drift"), "_late": row.uniform("late"), "_tag": F.substring(row.digest("tag"), 1, 16)}
     drawn = rows.withColumns(draws)
 
     payload: list[Column] = []

@@ -70,7 +70,7 @@ def customers(keys: DataFrame, key: str, plan: Plan) -> DataFrame:
         "subscription_count": d.whole("subscriptions", 15, 44),
     })
     return rows.select(
-        "k", d.identifier().alias("customer_id"), F.concat(F.lit("Company "), F.substring(d.digest("name"), 1, 8)).alias("company_name"),
+        "k", d.identifier().alias("customer_id"), F.concat(F.lit("Company "), F.substring(d.digest("name"), 1, 16)).alias("company_name"),
         _market(F.col("market"), 0).alias("country_code"),
         _market(F.col("market"), 1).alias("home_currency"), "segment", "target_arr", "target_limit", "arr_growth",
         "drawdown_count", "facility_count", "subscription_count",
@@ -172,7 +172,7 @@ def loan_applications(master: DataFrame, plan: Plan) -> DataFrame:
     x = plan.draws("extra application", F.col("k"))
     extra = master.filter(x.chance("extra", 0.25)).select(
         x.identifier().alias("application_id"), x.identifier("customer").alias("customer_id"),
-        F.concat(F.lit("Company "), F.substring(x.digest("name"), 1, 8)).alias("company_name"),
+        F.concat(F.lit("Company "), F.substring(x.digest("name"), 1, 16)).alias("company_name"),
         common["company_registration_number"].alias("company_registration_number"), "country_code",
         common["industry"].alias("industry"), x.whole("amount", 50000, 1999999).cast("double").alias("requested_amount"),
         F.col("home_currency").alias("currency"), _before_start(x, "applied", plan, 30, 179).alias("application_date"),
@@ -297,7 +297,7 @@ def account_balances(master: DataFrame, plan: Plan) -> DataFrame:
             snap.alias("created_at"), _ingested(d, plan))
 
     own = snapshot(rows, "id", F.col("customer_id"), F.concat(
-        F.lit("acct_"), F.substring("customer_id", 1, 8), F.lit("_"), d.whole("account", 1, 3)))
+        F.lit("acct_"), F.col("customer_id"), F.lit("_"), d.whole("account", 1, 3)))
     lost = snapshot(rows.filter(d.chance("orphan", rt.ORPHAN_RATE)), "lost", d.identifier("lost customer"),
                     F.concat(F.lit("acct_orphan_"), d.whole("lost account", 1, 999)))
     return own.unionByName(lost)

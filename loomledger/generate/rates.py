@@ -12,10 +12,11 @@ SEGMENTS = {
     "growth": (0.80, (1000000, 20000000), (500000, 5000000), (3, 7), (1.5, 3.0)),
     "scale": (1.00, (20000000, 80000000), (5000000, 20000000), (5, 12), (0.4, 1.0)),
 }
+# Fixed value: the largest limit as a share of recurring revenue.
 MAX_LIMIT_TO_ARR = 0.70
 
-PLANS = ["Starter", "Professional", "Enterprise", "Growth", "Scale", "Custom"]
-PURPOSES = ["working_capital", "expansion", "marketing", "hiring", None]
+PLANS = ["Solo", "Team", "Studio", "Regional", "Global", "Tailored"]
+PURPOSES = ["stock", "new_branch", "campaign", "payroll", None]
 
 # Fixed values: (base, quote) -> mean rate.
 FX_RATES = {
@@ -24,6 +25,7 @@ FX_RATES = {
     ("SEK", "EUR"): 0.087, ("NOK", "EUR"): 0.085, ("ISK", "EUR"): 0.0067, ("EUR", "ISK"): 149.0,
     ("EUR", "CAD"): 1.47, ("CAD", "EUR"): 0.68,
 }
+# Spread around the mean rate, and the smallest rate.
 FX_DEVIATION = 0.02
 FX_FLOOR = 0.001
 

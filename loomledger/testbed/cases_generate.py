@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomledger.generate import entities as g
 from loomledger.generate import rates
-from loomledger.generate.dirt import generate
+from loomledger.generate.dirt import drift_key, generate
 from loomledger.plans.entities import ENTITIES
 from loomledger.plans.staging import stage
 from loomledger.session import shared_folder
@@ -34,7 +34,7 @@ def digest(kind: str, purpose: str, *key: str) -> str:
 
 
 def u(kind: str, purpose: str, *key: str) -> str:
-    return f"(CAST('0x' || substr({digest(kind, purpose, *key)}, 1, 8) AS BIGINT) / 4294967296.0::DOUBLE)"
+    return f"(CAST('0x' || substr({digest(kind, purpose, *key)}, 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE)"
 
 
 def whole(kind: str, purpose: str, low: str | int, high: str | int, *key: str) -> str:
@@ -54,7 +54,7 @@ def _range(values: tuple[object, object, object]) -> str:
 
 
 CTES["gen_master"] = f"""
-SELECT k, {uuid('customer', 'id', 'k')} AS customer_id, 'Company ' || substr({digest('customer', 'name', 'k')}, 1, 8) AS company_name,
+SELECT k, {uuid('customer', 'id', 'k')} AS customer_id, 'Company ' || substr({digest('customer', 'name', 'k')}, 1, 16) AS company_name,
   ({sql_list([country for country, _ in rates.MARKETS])})[market + 1] AS country_code,
   ({sql_list([currency for _, currency in rates.MARKETS])})[market + 1] AS home_currency,
   segment, arr AS target_arr,
@@ -209,7 +209,7 @@ FULL: dict[str, tuple[str, str]] = {
           valuation_at_application, CAST(floor(target_arr / (arr_growth + 1)) AS BIGINT) AS arr_at_application, {ingested(_A, 'k')}
         FROM gen_registered
         UNION ALL
-        SELECT {uuid(_X, 'id', 'k')}, {uuid(_X, 'customer', 'k')}, 'Company ' || substr({digest(_X, 'name', 'k')}, 1, 8), registration,
+        SELECT {uuid(_X, 'id', 'k')}, {uuid(_X, 'customer', 'k')}, 'Company ' || substr({digest(_X, 'name', 'k')}, 1, 16), registration,
           country_code, CAST({whole(_X, 'amount', 50000, 1999999, 'k')} AS DOUBLE), home_currency,
           {from_first_day('-' + whole(_X, 'applied', 30, 179, 'k'))}, {pick(_X, 'status', ['rejected', 'pending', 'cancelled'], 'k')},
           {whole(_X, 'score', 300, 849, 'k')}, {pick(_X, 'risk', ['low', 'medium', 'high', 'N/A'], 'k')},
@@ -271,7 +271,7 @@ FULL: dict[str, tuple[str, str]] = {
     "account_balances": (
         "snapshot_id customer_id account_id currency balance:plain snapshot_date account_type created_at _ingested_at",
         f"""SELECT {uuid(_B, 'id', *_KI)} AS snapshot_id, customer_id,
-          'acct_' || substr(customer_id, 1, 8) || '_' || {whole(_B, 'account', 1, 3, *_KI)} AS account_id, {_SNAPSHOT} FROM {_DAYS}
+          'acct_' || customer_id || '_' || {whole(_B, 'account', 1, 3, *_KI)} AS account_id, {_SNAPSHOT} FROM {_DAYS}
         UNION ALL
         SELECT {uuid(_B, 'lost', *_KI)}, {uuid(_B, 'lost customer', *_KI)}, 'acct_orphan_' || {whole(_B, 'lost account', 1, 999, *_KI)},
           {_SNAPSHOT} FROM {_DAYS} WHERE {u(_B, 'orphan', *_KI)} < {rates.ORPHAN_RATE}"""),
@@ -340,16 +340,97 @@ register("gen_company_metrics_profile", lambda s, d: rows("company_metrics")(s,
     f"(SELECT {whole('metric', 'measured', 0, 28, 'k', 'i')} AS m FROM {each(whole('customer', 'metrics', 2, 4, 'k'))})")
 
 
+# --- the dirt --------------------------------------------------------------------------
+
+_NOT_NEGATIVE = {"facility_limit", "amount of drawdowns", "balance"}
+_CODES = "'GBP','EUR','CHF','SEK','NOK','DKK','ISK','USD','CAD'"
+
+
+def part(draw: str, low: float, high: float, count: int) -> str:
+    return f"least(floor(({draw} - {low!r}::DOUBLE) / {high - low!r}::DOUBLE * {count}), {count - 1})"
+
+
+def staged_dirt_sql(name: str) -> str:
+    """Clean rows -> what default staging keeps of them once they have been made dirty, landed and read back."""
+    entity = ENTITIES[name]
+    drift = drift_key(entity)
+
+    def row(purpose: str) -> str:
+        return u(f"row {name}", purpose, "row_key")
+
+    def batch(purpose: str) -> str:
+        return u(f"batch {name}", purpose, "batch_key")
+
+    def date(column: str) -> str:
+        draw, low = row(f"{column}/form"), rates.IMPOSSIBLE_DATE_RATE
+        dirty = low + (1 - low) * rates.DIRTY_DATE_RATE
+        epoch = dirty + (1 - dirty) * rates.EPOCH_DATE_RATE
+        us = epoch + (1 - epoch) * rates.US_DATE_RATE
+        iso = rates.DIRTY_DATE_FORMATS.index("yyyy-MM-dd")
+        # Of the other formats staging reads only the day of an ISO date; all dates here are whole days.
+        return (f"CASE WHEN {draw} < {low!r} THEN NULL WHEN {draw} < {dirty!r} THEN "
+                f"CASE WHEN {part(draw, low, dirty, len(rates.DIRTY_DATE_FORMATS))} = {iso} THEN {column} END "
+                f"WHEN {draw} < {epoch!r} THEN {column} WHEN {draw} < {us!r} THEN NULL ELSE {column} END")
+
+    def amount(column: str) -> str:
+        draw, value = batch(f"{column}/type"), f"CAST({column} AS DOUBLE)"
+        minor = f"floor(abs({value}) * 100) * sign({value})"
+        return (f"CASE WHEN {draw} < {rates.TYPE_DRIFT_RATE} AND {part(draw, 0.0, rates.TYPE_DRIFT_RATE, 3)} <> 1 "
+                f"THEN {minor} ELSE {value} END")
+
+    def expected(column: str) -> str:
+        if column == drift:
+            draw = batch("drift")
+            if column == "collateral_required":
+                return f"CASE WHEN {draw} < {rates.COLLATERAL_RATE} THEN CASE WHEN {draw} < {rates.COLLATERAL_RATE / 2} THEN 'true' ELSE 'false' END END"
+            if column == "referral_source":
+                return (f"CASE WHEN {draw} < {rates.REFERRAL_RATE} THEN (['partner', 'web', 'event', 'broker'])"
+                        f"[CAST({part(draw, 0.0, rates.REFERRAL_RATE, 4)} AS BIGINT) + 1] END")
+            return f"CASE WHEN {draw} >= {rates.BIC_DROP_RATE} THEN {column} END"
+        value = column
+        if column in entity.dates:
+            value = date(column)
+        elif column in entity.amounts:
+            value = amount(column)
+            if column in _NOT_NEGATIVE or f"{column} of {name}" in _NOT_NEGATIVE:
+                value = f"CASE WHEN {value} >= 0 THEN {value} END"
+        elif column in ("currency", "base_currency", "quote_currency"):
+            value = f"CASE WHEN upper({column}) IN ({_CODES}) THEN upper({column}) END"
+        elif column in ("country_code", "company_registration_number"):
+            value = f"nullif({column}, '')"
+        elif column == "credit_score":
+            value = f"CASE WHEN {column} BETWEEN 300 AND 850 THEN {column} END"
+        if column in rates.KEY_VARIANTS:
+            value = f"CASE WHEN {batch(f'{column}/key')} >= {rates.RENAME_RATE} THEN {value} END"
+        if column == "plan_id":
+            value = f"coalesce({value}, 'unknown')"
+        return value
+
+    late = row("late")
+    days = f"CASE WHEN {late} < {rates.STALE_RATE} THEN {part(late, 0.0, rates.STALE_RATE, rates.STALE_JITTER + 1)} + {rates.STALE_DAYS} ELSE 0 END"
+    outputs = ", ".join(f"{expected(column)} AS {column}" for column in entity.columns)
+    named = "" if not entity.key_required else f"WHERE {entity.key} IS NOT NULL"
+    return f"""
+        SELECT *, CAST(1 AS BIGINT) AS _schema_version FROM (
+          SELECT {outputs}, _ingested_at - to_days(CAST({days} AS INTEGER)) AS _ingested_at,
+            strftime(_ingested_at - to_days(CAST({days} AS INTEGER)), '%Y-%m-%d') || substr({digest(f'row {name}', 'tag', 'row_key')}, 1, 16) AS tag
+          FROM (
+            SELECT *, CAST(CAST(_ingested_at AS DATE) AS VARCHAR) AS batch_key,
+              concat_ws('|', {entity.key}, CAST(_ingested_at AS VARCHAR), CAST(created_at AS VARCHAR)) AS row_key
+            FROM ({FULL[name][1]}))) {named}
+        QUALIFY row_number() OVER (PARTITION BY {entity.key} ORDER BY _ingested_at DESC, tag DESC) = 1"""
+
+
 def _staged_dirt(name: str):
     """Generated events landed, read back and staged: what the dirt leaves."""
     def build(s, d: str) -> DataFrame:
         entity = ENTITIES[name]
         landing = shared_folder(s, "generated")
         write_raw_events(generate(master(s, d), name, PLAN), landing, entity)
-        staged = stage(read_raw_events(s, landing, entity), entity)
-        return staged.agg(F.count("*").alias("staged"), *[F.count(c).alias(f"with_{c}") for c in entity.columns])
+        return stage(read_raw_events(s, landing, entity), entity)
     return build
 
 
-for _name in g.GENERATORS:
-    register(f"gen_landed_{_name}", _staged_dirt(_name))
+for _name, _entity in ENTITIES.items():
+    register(f"gen_landed_{_name}", _staged_dirt(_name), " ".join([*_entity.columns, "_ingested_at", "_schema_version"]),
+             staged_dirt_sql(_name))

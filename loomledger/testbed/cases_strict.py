@@ -15,7 +15,7 @@ from loomledger.sources.tables import MART_SCHEMAS
 from loomledger.testbed import landing as ld
 from loomledger.testbed.cases_columns import scalar
 from loomledger.testbed.catalog import register
-from loomledger.testbed.oracle import CTES, ing
+from loomledger.testbed.oracle import CTES, PURPOSE, ing
 
 _LATEST_LINE = ("QUALIFY row_number() OVER (PARTITION BY drawdown_id ORDER BY _ingested_at DESC, l_partkey DESC, "
                 "l_suppkey DESC, l_extendedprice DESC) = 1")
@@ -36,7 +36,7 @@ SELECT * FROM (
     CASE WHEN m % 33 <> 0 THEN CAST(l_extendedprice AS DECIMAL(18,2)) END AS amount,
     (['GBP','EUR','CHF','SEK','NOK','DKK','ISK','USD','CAD','USD',NULL,NULL])[m % 12 + 1] AS currency,
     {_recovered_dates('d', 'm % 10')} AS drawdown_date,
-    (['working_capital', 'expansion', 'marketing', 'hiring', NULL])[l_linenumber % 5 + 1] AS purpose,
+    ({PURPOSE})[l_linenumber % 5 + 1] AS purpose,
     CASE l_returnflag WHEN 'A' THEN 'completed' WHEN 'N' THEN 'pending' ELSE 'failed' END AS status
   FROM (SELECT *, l_orderkey * 7 + l_linenumber AS m, l_shipdate + to_days(9131) AS d,
     TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(CASE WHEN l_partkey % 20 = 9

@@ -28,6 +28,7 @@ PAIR_BASE = sql_list([base for base, _ in rates.FX_RATES])
 PAIR_QUOTE = sql_list([quote for _, quote in rates.FX_RATES])
 PAIR_MICRO = sql_list([round(rate * 1_000_000) for rate in rates.FX_RATES.values()])
 PLAN = sql_list(rates.PLANS)
+PURPOSE = sql_list(rates.PURPOSES).replace("None", "NULL")
 
 # What a column holds decides how it is made comparable.
 KINDS: dict[str, set[str]] = {
@@ -209,7 +210,7 @@ FROM (
     CASE WHEN m % 33 <> 0 THEN {amt('l_extendedprice')} END AS amount,
     {nth(CURRENCY, 'm % 12')} AS currency,
     {dated('d', 'm % 10')} AS drawdown_date,
-    (['working_capital', 'expansion', 'marketing', 'hiring', NULL])[l_linenumber % 5 + 1] AS purpose,
+    ({PURPOSE})[l_linenumber % 5 + 1] AS purpose,
     CASE l_returnflag WHEN 'A' THEN 'completed' WHEN 'N' THEN 'pending' ELSE 'failed' END AS status
   FROM (SELECT *, {_LINE} AS m, l_shipdate + {SHIFT} AS d,
           {ing(f'({_LINE} + l_partkey) % 30', '(l_suppkey * 101 + l_partkey) % 86400', 'l_partkey % 20 = 9', 'l_partkey % 15')}
