@@ -259,6 +259,14 @@ def landed_files(spark: SparkSession, landing: str) -> DataFrame:
     )
 
 
+def landed_events(spark: SparkSession, landing: str) -> DataFrame:
+    """``landed_files`` with the number of events per expected entity, from a scan of the two routing columns."""
+    held = spark.read.schema(ENVELOPE).parquet(f"{landing}/{RAW_ROOT}").groupBy(
+        F.col("_source").alias("source"), F.col("_entity").alias("entity")).agg(F.count(F.lit(1)).alias("_events"))
+    return landed_files(spark, landing).join(held, ["source", "entity"], "left").withColumn(
+        "events", F.coalesce("_events", F.lit(0))).drop("_events")
+
+
 # --- run summary ----------------------------------------------------------------
 
 _FAILED = ("error", "fail", "runtime error")

@@ -24,6 +24,20 @@ def top(df: DataFrame, by: str, tie_break: str, k: int) -> DataFrame:
     return df.orderBy(F.desc_nulls_last(by), F.asc_nulls_last(tie_break)).limit(k)
 
 
+def totals_of_linked(fact: DataFrame, facilities: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    """Sums per customer of fact rows whose facility is known, from staged facts.
+
+    Rows are added up per (facility, customer) below the lookup of the facility, so
+    no join sees more than one row of a pair, however many a customer has; the
+    joins need no skew handling and no session setting. ``facilities`` is unique on
+    its key. Whether the customer is known is left to the join that follows.
+    """
+    pairs = fact.filter(F.col("facility_id").isNotNull() & F.col("customer_id").isNotNull()).groupBy(
+        "facility_id", "customer_id").agg(*[value.alias(name) for name, value in measures.items()])
+    known = pairs.join(facilities.select("facility_id"), "facility_id", "left_semi")
+    return known.groupBy("customer_id").agg(*[F.sum(name).alias(name) for name in measures])
+
+
 # --- customers --------------------------------------------------------------
 
 def top_customers(customers: DataFrame, by: str, k: int) -> DataFrame:
@@ -123,6 +137,15 @@ def drawn_per_company(drawdowns: DataFrame, customers: DataFrame) -> DataFrame:
     row per customer and no hot customer reaches a single task.
     """
     per_customer = linked(drawdowns).groupBy("customer_id").agg(c.money_sum(F.col("amount")).alias("drawn"))
+    return _per_company(per_customer, customers)
+
+
+def drawn_per_company_staged(drawdowns: DataFrame, facilities: DataFrame, customers: DataFrame) -> DataFrame:
+    """``drawn_per_company`` from staged drawdowns: added up before the parents are looked up."""
+    return _per_company(totals_of_linked(drawdowns, facilities, {"drawn": c.money_sum(F.col("amount"))}), customers)
+
+
+def _per_company(per_customer: DataFrame, customers: DataFrame) -> DataFrame:
     return (
         per_customer.join(customers.select("customer_id", "company_name"), "customer_id")
         .groupBy("company_name").agg(c.money_sum(F.col("drawn")).alias("total_drawn"))
@@ -163,11 +186,23 @@ def repayment_watchlist(repayments: DataFrame, customers: DataFrame, more_than:
     Counts and sums are taken per customer before the join and then added up
     per company name.
     """
-    lag = F.col("scheduled_vs_actual_lag_days")
-    per_customer = linked(repayments).groupBy("customer_id").agg(
-        F.count("repayment_id").alias("scheduled"),
-        F.count("actual_date").alias("paid"),
-        F.sum(lag).alias("lag_sum"), F.count(lag).alias("lag_count"))
+    measures = _watched(F.col("scheduled_vs_actual_lag_days"))
+    per_customer = linked(repayments).groupBy("customer_id").agg(*[value.alias(name) for name, value in measures.items()])
+    return _watchlist(per_customer, customers, more_than, k)
+
+
+def repayment_watchlist_staged(repayments: DataFrame, facilities: DataFrame, customers: DataFrame,
+                               more_than: int = 5, k: int = 10) -> DataFrame:
+    """``repayment_watchlist`` from staged repayments: added up before the parents are looked up."""
+    lag = c.days_between(F.col("due_date"), F.col("actual_date"))
+    return _watchlist(totals_of_linked(repayments, facilities, _watched(lag)), customers, more_than, k)
+
+
+def _watched(lag: Column) -> dict[str, Column]:
+    return {"scheduled": F.count("repayment_id"), "paid": F.count("actual_date"), "lag_sum": F.sum(lag), "lag_count": F.count(lag)}
+
+
+def _watchlist(per_customer: DataFrame, customers: DataFrame, more_than: int, k: int) -> DataFrame:
     companies = (
         per_customer.join(customers.select("customer_id", "company_name"), "customer_id")
         .groupBy("company_name")

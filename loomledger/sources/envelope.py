@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomledger.plans.entities import Entity
+from loomledger.sources.versions import subfolders
 
 ENVELOPE = (
     "_source string, _entity string, _ingested_at timestamp_ntz, "
@@ -36,6 +37,27 @@ def day_predicate(since: date | None, until: date | None) -> Column | None:
     return bounds[0] if len(bounds) == 1 else bounds[0] & bounds[1]
 
 
+def day_folders(spark: SparkSession, landing: str, since: date | None, until: date | None) -> list[str]:
+    """The day folders within the bounds, found level by level: other years and months are not listed."""
+    low = since or date.min
+    high = until or date.max
+
+    def within(path: str, given: tuple[int, ...]) -> list[str]:
+        if len(given) == 3:
+            return [path]
+        size, found = len(given) + 1, []
+        for folder in subfolders(spark, path):
+            name, _, value = folder.rsplit("/", 1)[1].partition("=")
+            if name != DAY_COLUMNS[size - 1] or not value.isdigit():
+                continue
+            reached = (*given, int(value))
+            if low.timetuple()[:size] <= reached <= high.timetuple()[:size]:
+                found += within(folder, reached)
+        return found
+
+    return within(f"{landing}/{RAW_ROOT}", ())
+
+
 def read_raw_events(
     spark: SparkSession,
     landing: str,
@@ -45,16 +67,19 @@ def read_raw_events(
 ) -> DataFrame:
     """Scan one entity's envelopes.
 
-    Files of other entities are skipped by name, days outside the bounds by
-    partition pruning. The schema is explicit: nothing is inferred, and a
-    column a file lacks reads as NULL.
+    Files of other entities are skipped by name. With bounds only the day folders
+    within them are listed and read. The schema is explicit: nothing is inferred,
+    and a column a file lacks reads as NULL.
     """
+    schema, root = f"{ENVELOPE}, year int, month int, day int", f"{landing}/{RAW_ROOT}"
+    days = day_predicate(since, until)
+    folders = [root] if days is None else day_folders(spark, landing, since, until)
+    if not folders:
+        return spark.createDataFrame([], ENVELOPE)
     events = (
-        spark.read.schema(f"{ENVELOPE}, year int, month int, day int")
-        .option("pathGlobFilter", f"raw_events_{entity.source}_{entity.name}_*.parquet")
-        .parquet(f"{landing}/{RAW_ROOT}")
+        spark.read.schema(schema).option("basePath", root)
+        .option("pathGlobFilter", f"raw_events_{entity.source}_{entity.name}_*.parquet").parquet(*folders)
     )
-    days = day_predicate(since, until)
     if days is not None:
         events = events.filter(days)
     return with_payload(events).select(*ENVELOPE_COLUMNS)

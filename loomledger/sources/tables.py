@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,7 @@ from pyspark.sql import types as T
 from loomledger.plans.entities import ENTITIES
 from loomledger.plans.marts import MART_NAMES
 from loomledger.plans.warehouse import INTERMEDIATE_NAMES, Warehouse
+from loomledger.sources.versions import recover_folder, replace_folder
 
 # Column names and types of the exported marts.
 MART_SCHEMAS = {
@@ -83,13 +86,21 @@ def build(warehouse: Warehouse, folder: str, with_intermediate: bool = False) ->
 
 
 def export_mart(df: DataFrame, mart: str, folder: str) -> int:
-    """Overwrite one mart's Parquet dataset; the row count is observed while
-    writing, so the data is not scanned again."""
+    """Replace one mart's Parquet dataset; the row count is observed while
+    writing, so the data is not scanned again.
+
+    The new files are written beside the old and put in their place when they are
+    complete: a run that dies leaves the mart as it was.
+    """
     check_schema(mart, df.schema)
+    spark, target = df.sparkSession, f"{folder.rstrip('/')}/{mart}"
+    recover_folder(spark, target)
+    draft = f"{folder.rstrip('/')}/.{mart}-{uuid.uuid4().hex}"
     counted = Observation(f"export {mart}")
-    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option(
-        "compression", "snappy").parquet(f"{folder}/{mart}")
-    return int(counted.get["rows"])
+    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.option("compression", "snappy").parquet(draft)
+    rows = int(counted.get["rows"])
+    replace_folder(spark, draft, target)
+    return rows
 
 
 def export_marts(warehouse: Warehouse, folder: str) -> dict[str, int]:

@@ -26,6 +26,39 @@ def _files(spark: SparkSession, path: str):
     return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def replace_folder(spark: SparkSession, draft: str, target: str) -> None:
+    """Put a completely written folder in the place of another, which is kept until the new one stands."""
+    files, retired = _files(spark, target), _retired(target)
+    if files.exists(_path(spark, target)) and not files.rename(_path(spark, target), _path(spark, retired)):
+        raise RuntimeError(f"{target} could not be set aside")
+    if not files.rename(_path(spark, draft), _path(spark, target)):
+        raise RuntimeError(f"{draft} could not be put at {target}")
+    files.delete(_path(spark, retired), True)
+
+
+def recover_folder(spark: SparkSession, target: str) -> None:
+    """Undo a replacement that died between its two renames."""
+    files, retired = _files(spark, target), _retired(target)
+    if files.exists(_path(spark, retired)):
+        if files.exists(_path(spark, target)):
+            files.delete(_path(spark, retired), True)
+        else:
+            files.rename(_path(spark, retired), _path(spark, target))
+
+
+def _retired(target: str) -> str:
+    parent, name = target.rstrip("/").rsplit("/", 1)
+    return f"{parent}/.{name}-retired"
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """The paths of the folders in a folder; none where it does not exist."""
+    files, folder = _files(spark, path), _path(spark, path)
+    if not files.exists(folder):
+        return []
+    return sorted(f"{path.rstrip('/')}/{s.getPath().getName()}" for s in files.listStatus(folder) if s.isDirectory())
+
+
 class Buckets:
     """A bucketed table under ``root``; ``versions`` maps bucket -> version, both from the newest manifest."""
 

@@ -116,13 +116,15 @@ register("q12_orphan_census",
              f"round(100.0::DOUBLE * count(*) FILTER (is_orphaned) / count(*), 1) AS orphan_pct FROM {table}"
              for name, table in [("drawdowns", "fct_d"), ("repayments", "fct_r"), ("fx_transactions", "fct_x")]))
 register("q13_repayment_watchlist",
-         lambda s, d: (lambda w: r.repayment_watchlist(w.fct_repayments(), w.dim_customers()))(wh(s, d)),
+         lambda s, d: (lambda w: r.repayment_watchlist_staged(
+             w.staged("repayments", "facility_id", "customer_id", "due_date", "actual_date"), w.facility_keys(), w.dim_customers()))(wh(s, d)),
          "company_name scheduled paid avg_lag_days",
          "SELECT company_name, count(repayment_id) AS scheduled, count(actual_date) AS paid, "
          "round(avg(scheduled_vs_actual_lag_days), 1) AS avg_lag_days FROM fct_r JOIN dim_c USING (customer_id) "
          "WHERE NOT fct_r.is_orphaned GROUP BY 1 HAVING count(repayment_id) > 5 ORDER BY 4 DESC NULLS LAST, 1 LIMIT 10")
 register("q14_drawn_per_company",
-         lambda s, d: (lambda w: r.drawn_per_company(w.fct_drawdowns(), w.dim_customers()))(wh(s, d)),
+         lambda s, d: (lambda w: r.drawn_per_company_staged(
+             w.staged("drawdowns", "facility_id", "customer_id", "amount"), w.facility_keys(), w.dim_customers()))(wh(s, d)),
          "company_name total_drawn",
          "SELECT company_name, sum(amount) AS total_drawn FROM fct_d JOIN dim_c USING (customer_id) "
          "WHERE NOT fct_d.is_orphaned GROUP BY 1")

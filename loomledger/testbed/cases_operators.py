@@ -79,13 +79,12 @@ register("orphan_flag_two_parents", lambda s, d: wh(s, d).fct_repayments().selec
 def _universe(s, d: str) -> DataFrame:
     w = wh(s, d)
     drawn = intermediate.completed_draws(w.staged("drawdowns"), "facility_id")
-    merged = keys.merge_by_key(w.staged("credit_facilities").select("facility_id", "facility_limit"), drawn, "facility_id")
-    return merged.filter(F.col("facility_id").isNotNull())
+    return keys.merge_by_key(w.staged("credit_facilities").select("facility_id", "facility_limit"), drawn, "facility_id")
 
 
 register("key_universe_join", _universe, "facility_id facility_limit total_drawn_amount",
          "SELECT facility_id, facility_limit, drawn AS total_drawn_amount FROM s_credit_facilities "
-         "FULL JOIN drawn_facility USING (facility_id) WHERE facility_id IS NOT NULL")
+         "FULL JOIN drawn_facility USING (facility_id)")
 register("lookup_join", lambda s, d: intermediate.with_eur_rate(
     wh(s, d).staged("invoices").select("invoice_id", "currency"),
     intermediate.eur_rates(wh(s, d).staged("fx_transactions"))),

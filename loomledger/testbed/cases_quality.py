@@ -107,20 +107,22 @@ register("dq_landing_check",
                             for entity in ENTITIES.values()))
 
 
+_LANDED = ("invoices", "company_metrics")
+
+
 def _landed_in_part(s, d: str) -> DataFrame:
-    """One file of two entities each; the other seven are missing."""
+    """All events of two entities; the other seven are missing."""
     folder = shared_folder(s, "landed-in-part")
-    for name in ("invoices", "company_metrics"):
-        one_day = ld.packed_events(s, d, name).filter(F.to_date("_ingested_at") == "2024-01-05")
-        write_raw_events(one_day.coalesce(1), folder, ENTITIES[name])
-    return q.landed_files(s, folder).select("source", "entity", "files", "status")
+    for name in _LANDED:
+        write_raw_events(ld.packed_events(s, d, name), folder, ENTITIES[name])
+    return q.landed_events(s, folder).select("source", "entity", "events", "status")
 
 
-register("dq_landing_missing", _landed_in_part, "source entity files status",
+register("dq_landing_missing", _landed_in_part, "source entity events status",
          " UNION ALL ".join(
-             f"SELECT '{entity.source}' AS source, '{entity.name}' AS entity, CAST({n} AS BIGINT) AS files, "
-             f"'{'ok' if n else 'missing'}' AS status"
-             for entity in ENTITIES.values() for n in [int(entity.name in ("invoices", "company_metrics"))]))
+             f"SELECT '{entity.source}' AS source, '{entity.name}' AS entity, count(*) AS events, "
+             f"CASE WHEN count(*) > 0 THEN 'ok' ELSE 'missing' END AS status FROM f_{entity.name}"
+             + ("" if entity.name in _LANDED else " WHERE FALSE") for entity in ENTITIES.values()))
 
 
 def _stopped(s, d: str) -> DataFrame:

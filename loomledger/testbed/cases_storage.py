@@ -121,7 +121,7 @@ def _flat_batches(s, d: str) -> DataFrame:
 
 register("flat_batches_of_a_day", _flat_batches, "metric_id customer_id arr_reported",
          "SELECT 'M' || event_id AS metric_id, 'C' || user_id AS customer_id, "
-         "CAST(round(value * 100) * 12 AS DECIMAL(18,2)) AS arr_reported FROM events WHERE event_type = 'signup'")
+         "CAST(round(value * 100) * 12 AS DECIMAL(18,2)) AS arr_reported FROM events")
 
 
 def _flat_roundtrip(s, d: str) -> DataFrame:
@@ -134,7 +134,7 @@ def _flat_roundtrip(s, d: str) -> DataFrame:
 
 register("flat_roundtrip", _flat_roundtrip, "metric_id customer_id arr_reported",
          "SELECT 'M' || event_id AS metric_id, 'C' || user_id AS customer_id, "
-         "CAST(round(value * 100) * 12 AS DECIMAL(18,2)) AS arr_reported FROM events WHERE event_type = 'signup'")
+         "CAST(round(value * 100) * 12 AS DECIMAL(18,2)) AS arr_reported FROM events")
 
 
 def _flat_drift(s, d: str) -> DataFrame:

@@ -354,7 +354,6 @@ def company_metrics(t: Tables) -> DataFrame:
     k = F.col("event_id")
     rows = (
         t("events")
-        .filter(F.col("event_type") == "signup")
         .select("event_id", "user_id", "ts", "value")
         .withColumn("_ingested_at", ingested(k * 29 % 30, k % 86400, k % 20 == 19, k % 15))
         .withColumn("d", e("cast(cast(ts as date) as timestamp_ntz)"))

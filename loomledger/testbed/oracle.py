@@ -285,7 +285,7 @@ SELECT 'M' || event_id AS metric_id, {cust("'C' || user_id")} AS customer_id,
   {amt('round(value * 100) * 12')} AS arr_reported,
   _ingested_at, CAST(1 AS BIGINT) AS _schema_version
 FROM (SELECT *, {ing('event_id * 29 % 30', 'event_id % 86400', 'event_id % 20 = 19', 'event_id % 15')} AS _ingested_at
-      FROM events WHERE event_type = 'signup')
+      FROM events)
 """
 
 CTES["eur_rate"] = """
