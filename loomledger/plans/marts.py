@@ -127,6 +127,14 @@ def _with_lending_parents(fact: DataFrame, facilities: DataFrame, customers: Dat
     return with_parent(linked, customers, "customer_id", "has_customer")
 
 
+def orphan_flags(fact: DataFrame, customers: DataFrame, facilities: DataFrame | None = None) -> DataFrame:
+    """Only whether each row of a fact lacks a parent; the fact needs no more than its parents' keys."""
+    if facilities is not None:
+        return _with_lending_parents(fact, facilities, customers).select(
+            missing_any("has_facility", "has_customer").alias("is_orphaned"))
+    return with_parent(fact, customers, "customer_id", "has_customer").select(missing_any("has_customer").alias("is_orphaned"))
+
+
 def fct_drawdowns(drawdowns: DataFrame, facilities: DataFrame, customers: DataFrame) -> DataFrame:
     """``facilities`` and ``customers`` need only their keys (and approval date)."""
     return _with_lending_parents(drawdowns, facilities, customers, ("approval_date",)).select(

@@ -79,6 +79,23 @@ class Warehouse:
             newest = newest_ingestion(self.raw("subscriptions"), subscriptions)
         return intermediate.as_of_instant(newest, self.now)
 
+    def prepared(self, write: Callable[[DataFrame, str], DataFrame], build: Callable[[Warehouse], object]) -> Warehouse:
+        """A warehouse for what ``build`` asks of one: every entity that it needs is staged once, with the columns it needs.
+
+        ``build`` is run first to see which columns of which entities it names; those
+        are staged together and given to ``write`` (rows, name), which returns them as a
+        written table. Reports that share entities then parse no payload twice.
+        """
+        demand = _Demand(self)
+        build(demand)
+        tables = dict(self.tables)
+        for entity, columns in demand.columns.items():
+            spec = ENTITIES[entity]
+            if spec.table not in tables:
+                rows = self.staged(entity) if columns is None else self.staged(entity, *sorted(columns))
+                tables[spec.table] = write(rows, spec.table)
+        return Warehouse(self.spark, self.raw, self.now, tables, self.strict)
+
     # --- intermediate ---
 
     def arr_per_customer(self) -> DataFrame:
@@ -149,6 +166,12 @@ class Warehouse:
         return self._mart("fct_fx_transactions", lambda: marts.fct_fx_transactions(
             self.staged("fx_transactions"), self.customer_keys()))
 
+    def orphan_flags(self, entity: str) -> DataFrame:
+        """Whether each row of a fact entity lacks a parent, from the keys alone."""
+        if "facility_id" in ENTITIES[entity].columns:
+            return marts.orphan_flags(self.staged(entity, "facility_id", "customer_id"), self.customer_keys(), self.facility_keys())
+        return marts.orphan_flags(self.staged(entity, "customer_id"), self.customer_keys())
+
     def model(self, name: str) -> DataFrame:
         """Any of the eighteen models by name."""
         for entity in ENTITIES.values():
@@ -160,3 +183,16 @@ class Warehouse:
         """Expose all models to ``spark.sql`` under their names."""
         for name in [*STAGING_NAMES, *INTERMEDIATE_NAMES, *marts.MART_NAMES]:
             self.model(name).createOrReplaceTempView(name)
+
+
+class _Demand(Warehouse):
+    """Notes which columns of which entities are asked for; None stands for all."""
+
+    def __init__(self, of: Warehouse):
+        super().__init__(of.spark, of.raw, of.now, of.tables, of.strict)
+        self.columns: dict[str, set[str] | None] = {}
+
+    def staged(self, entity: str, *columns: str) -> DataFrame:
+        known = self.columns.get(entity, set())
+        self.columns[entity] = None if not columns or known is None else known | set(columns)
+        return super().staged(entity, *columns)

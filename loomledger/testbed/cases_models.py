@@ -5,6 +5,7 @@ from __future__ import annotations
 from loomledger.functions import columns as c
 from loomledger.plans import reports as r
 from loomledger.plans.entities import ENTITIES
+from loomledger.plans.units import written
 from loomledger.testbed.catalog import register
 from loomledger.testbed.landing import warehouse as wh
 
@@ -108,8 +109,12 @@ register("q11_days_to_drawdown", lambda s, d: r.days_to_drawdown(wh(s, d).fct_dr
          "min_days avg_days max_days",
          "SELECT min(days_since_facility_approval) AS min_days, avg(days_since_facility_approval) AS avg_days, "
          "max(days_since_facility_approval) AS max_days FROM fct_d WHERE NOT is_orphaned")
+def _census(w):
+    return r.orphan_census(*[w.orphan_flags(name) for name in ("drawdowns", "repayments", "fx_transactions")])
+
+
 register("q12_orphan_census",
-         lambda s, d: (lambda w: r.orphan_census(w.fct_drawdowns(), w.fct_repayments(), w.fct_fx_transactions()))(wh(s, d)),
+         lambda s, d: _census(wh(s, d).prepared(lambda rows, name: written(rows, name), _census)),
          "entity orphans total orphan_pct",
          " UNION ALL ".join(
              f"SELECT '{name}' AS entity, count(*) FILTER (is_orphaned) AS orphans, count(*) AS total, "

@@ -8,6 +8,8 @@ from support import T0, envelopes
 
 from loomledger.plans import reports
 from loomledger.plans.entities import ENTITIES
+from loomledger.plans.units import written
+from loomledger.plans.warehouse import Warehouse
 from loomledger.sources import envelope, tables
 from loomledger.sources.versions import recover_folder
 
@@ -88,3 +90,31 @@ def test_a_bounded_read_lists_only_its_days(spark, tmp_path):
     assert envelope.read_raw_events(spark, landing, entity, date(2030, 1, 1)).collect() == []
     assert len(envelope.day_folders(spark, landing, None, None)) == 1003
     assert envelope.read_raw_events(spark, landing, entity, until=date(2025, 1, 1)).count() == 0
+
+
+def test_reports_that_share_entities_stage_each_once(spark):
+    asked = []
+
+    def raw(name):
+        asked.append(name)
+        rows = [(T0, 1, "b", {ENTITIES[name].key: f"K{n}", "customer_id": f"C{n % 3}", "facility_id": f"K{n % 2}", "status": "approved"})
+                for n in range(6)]
+        return envelopes(spark, name, rows)
+
+    def census(house):
+        return reports.orphan_census(*[house.orphan_flags(name) for name in ("drawdowns", "repayments", "fx_transactions")])
+
+    lazy, tables_written = Warehouse(spark, raw), {}
+
+    def write(rows, name):
+        tables_written[name] = rows.columns
+        return written(rows, name)
+
+    ready = lazy.prepared(write, census)
+    assert sorted(tables_written) == sorted(ENTITIES[n].table for n in (
+        "drawdowns", "repayments", "fx_transactions", "credit_facilities", "loan_applications"))
+    assert "amount" not in tables_written["stg_lending__drawdowns"] and "facility_id" in tables_written["stg_lending__drawdowns"]
+    asked.clear()
+    result = census(ready)
+    assert asked == [] and "from_json" not in result._jdf.queryExecution().optimizedPlan().toString()
+    assert result.collect() == census(Warehouse(spark, raw)).collect()
