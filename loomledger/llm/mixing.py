@@ -72,7 +72,8 @@ def fill_targets(sizes: Sequence[int], recipe: Recipe) -> list[float]:
         for i in over:
             targets[i] = caps[i]
         left -= sum(caps[i] for i in over)
-        open_ = [i for i in open_ if i not in set(over)]
+        closed = set(over)
+        open_ = [i for i in open_ if i not in closed]
     return targets
 
 
