@@ -59,7 +59,8 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: Several stages cannot be stated in SQL; tests hold each against a brute-force version.
+#: Several stages cannot be stated in SQL. Tests hold line dedup of short lines, SimHash and packing against brute force
+#: as operators; of the stages in a row they check counts and columns.
 ORACLE_SQL: str | None = None
 
 
