@@ -28,9 +28,13 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 # Mixing
 
 def test_targets_fill_up_to_their_caps():
-    targets = fill_targets([100, 10, 100], Recipe())
-    assert targets[1] == 20 and targets[0] == pytest.approx(295 * 0.6 + 10 * 0.6 - 0.0, rel=0.2)
-    assert sum(targets) == pytest.approx(315) and all(t <= 2 * s for t, s in zip(targets, [100, 10, 100], strict=True))
+    # By hand: 315 words; the second source stops at 20, of the other 295 three fifths and two fifths.
+    assert fill_targets([100, 10, 100], Recipe()) == pytest.approx([177, 20, 118])
+    # 4.5 words; the first stops at 2, of the other 2.5 one third and two thirds.
+    assert fill_targets([1, 1, 1], Recipe()) == pytest.approx([2, 2.5 / 3, 5 / 3])
+    # Weights 3, 1, 2, 3: 600 words over sizes of 100 would be 200, 66.7, 133.3, 200; none is above 200.
+    assert fill_targets([100] * 4, Recipe()) == pytest.approx([200, 200 / 3, 400 / 3, 200])
+    assert fill_targets([], Recipe()) == [] and fill_targets([0, 5], Recipe()) == pytest.approx([0, 7.5])
 
 
 def test_splitting_tree_is_exact_and_repeatable():
