@@ -1,211 +1,308 @@
-"""Line deduplication by windows of units, long lines cut by winnowing.
-
-A document is its sequence of units. A non-blank line of up to ``LONG_LINE`` words is
-one unit. A longer line is cut ahead of the word of smallest hash in every
-run of ``CUT_SPAN`` words (the first, on ties). Where to cut depends on those words alone,
-so a passage is cut alike wherever it stands, but for ``CUT_SPAN - 1`` words at
-either end, and no unit within a line is longer than ``CUT_SPAN`` words. Lines that
-share a passage of ``min_words + 4 * CUT_SPAN - 2`` words therefore share a run of
-units with at least ``min_words`` words, whatever stands around it.
-
-Windows are the shortest runs of units that hold at least ``min_words`` words, from
-every unit forwards and from every unit backwards: every run of equal units with
-that many words is a union of equal windows, so none can be missed.
-
-1. Windows are grouped by a 128-bit hash of their units: each group's first
-   occurrence and size are aggregated before the shuffle, so a line in a third of
-   all documents costs one entry per task.
-2. Every window is joined to the first occurrence of its content, where that has
-   more than one, never to one another.
-3. A window repeats if its content occurs earlier (by id, then unit) and not
-   overlapping; the union of a document's repeated windows is what its longest
-   repeated runs cover, and those units are deleted.
-
-Blank lines and units in no repeated run stay as they are. A passage whose words stand in
-a line of up to ``LONG_LINE`` words in one document and in a longer line, or broken
-at other places, in the other is not compared across the two.
+"""Line deduplication by winnowing: window minima, joined positions, matches extended both ways.
+
+A document is the sequence of its words, whatever lines they stand in, so a line
+meets its copy inside a longer line and short lines meet long ones. A shingle is
+``min_words`` words in a row; its hash is made from the words alone.
+
+1. Of every ``WINDOW`` shingles in a row the one of smallest hash (the last, on ties)
+   is a fingerprint, and so is the shingle at the start of every line. Two equal
+   runs of ``min_words + WINDOW - 1`` words therefore share a fingerprint at the
+   same place, as do equal lines of ``min_words`` words or more.
+2. Hashes are counted, pre-aggregated by each task; fingerprints that occur once are
+   dropped before anything but a hash and a position has moved.
+3. Every other position is joined to the first occurrence of its fingerprint (by
+   id, text hash, then word), never to one another. An occurrence that is the first or
+   overlaps the first is left alone.
+4. The first occurrence's ``WINDOW - 1`` words on either side are fetched from its
+   document. A later match is extended over them, both ways, as long as
+   the words agree; beyond that reach stands another fingerprint.
+5. The union of a document's matches is deleted.
+
+So every word that goes stands in a run of at least ``min_words`` words that occurs
+earlier. Words left of a repeated passage of ``min_words + WINDOW - 1`` words or more are
+at its ends only, where a fingerprint's first occurrence is in another context. Repeats of
+fewer words are found where they start a line or hold a window's minimum.
+
+Shingles are compared by 64-bit hashes, words beside them by 32-bit ones. Hashes are
+polynomials modulo 2**64 from which those of any run follow by prefix sums.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomledger.llm.common import own_columns, require_columns, settle, ship_package, whole_text
 
 MIN_WORDS = 10
-#: Lines of more words are cut into units.
-LONG_LINE = 30
-CUT_SPAN = 10
-_KEYS = ["content_a", "content_b"]
-_BLANK = " \t\x0b\x0c\r"
-_WORD = re.compile(r"[^ \t\x0b\x0c\r]+")
-#: Hashes of words met by this worker, forgotten when there are too many.
-_HASHES: dict[str, int] = {}
-_MAX_HASHES = 200_000
-
-
-def _cuts(line: str) -> list[tuple[int, int]]:
-    """(start, words) of the units of a long line; the first unit starts with the line."""
-    import xxhash
-
-    if len(_HASHES) > _MAX_HASHES:
-        _HASHES.clear()
-    starts, hashes = [], []
-    for found in _WORD.finditer(line):
-        word = found.group()
-        value = _HASHES.get(word)
-        if value is None:
-            value = _HASHES[word] = xxhash.xxh3_64_intdigest(word)
-        starts.append(found.start())
-        hashes.append(value)
-    if len(hashes) < CUT_SPAN:
-        return [(0, len(hashes))]
-    spans = np.lib.stride_tricks.sliding_window_view(np.array(hashes, dtype=np.uint64), CUT_SPAN)
-    at = np.unique(spans.argmin(axis=1) + np.arange(len(spans)))
-    at = [0, *at[at > 0].tolist()]
-    return [(starts[a] if a else 0, b - a) for a, b in zip(at, [*at[1:], len(hashes)], strict=True)]
-
-
-def document_units(text: str) -> list[tuple[int, int, int, int]]:
-    """(line, start, end, words) of every unit, start and end counted in the line."""
-    units = []
-    for number, line in enumerate(text.split("\n")):
-        plain = line.strip(_BLANK)
-        if not plain:
-            continue
-        words = len(plain.split()) or 1
-        if words <= LONG_LINE:
-            units.append((number, 0, len(line), words))
-            continue
-        cuts = _cuts(line)
-        for (start, count), end in zip(cuts, [*[c[0] for c in cuts[1:]], len(line)], strict=True):
-            units.append((number, start, end, count))
-    return units
-
-
-def document_windows(text: str, min_words: int) -> list[tuple[int, int, bytes]]:
-    """(first unit, last unit, content hash) of every window."""
-    import xxhash
-
-    lines = text.split("\n")
-    units = document_units(text)
-    words = [unit[3] for unit in units]
-    hashes = [xxhash.xxh3_128_digest(lines[number][start:end].strip(_BLANK)) for number, start, end, _ in units]
-    spans: set[tuple[int, int]] = set()
-    total, low = 0, 0
-    for high, count in enumerate(words):
-        total += count
-        # Shortest run that ends here.
-        while total - words[low] >= min_words:
-            total -= words[low]
-            low += 1
-        if total >= min_words:
-            spans.add((low, high))
-    total, high = 0, len(words) - 1
-    for low in range(len(words) - 1, -1, -1):
-        # Shortest run that starts here.
-        total += words[low]
-        while total - words[high] >= min_words:
-            total -= words[high]
-            high -= 1
-        if total >= min_words:
-            spans.add((low, high))
-    return [(low, high, hashes[low] if low == high else xxhash.xxh3_128_digest(b"".join(hashes[low:high + 1])))
-            for low, high in spans]
-
-
-def window_rows(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+WINDOW = 19
+#: Bytes of text hashed at once; a longer text is taken alone.
+SLICE_BYTES = 2_000_000
+_DOCUMENT = ["doc_id", "doc_hash"]
+_BLANK = b" \t\x0b\x0c\r"
+_WHITE = np.zeros(256, dtype=bool)
+_WHITE[[32, *range(9, 14)]] = True
+_BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+
+
+@dataclass
+class Words:
+    """The words of some texts: byte spans, bounds of each text, first words of lines, hashes."""
+
+    data: np.ndarray
+    offsets: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    first: np.ndarray
+    lines: np.ndarray
+    opens_line: np.ndarray
+    hashes: np.ndarray
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return values ^ (values >> np.uint64(31))
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    powers = np.full(count + 1, base, dtype=np.uint64)
+    powers[0] = 1
+    return np.cumprod(powers, dtype=np.uint64)
+
+
+def _run_hashes(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of every run ``values[start:end]``, the same wherever the run stands."""
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * _powers(base, len(values))[:-1], out=sums[1:])
+    back = _powers(pow(base, -1, 2**64), len(values))
+    return _mixed((sums[ends] - sums[starts]) * back[starts])
+
+
+def read_words(texts: pa.Array) -> Words:
+    texts = texts.cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[offsets[0]:offsets[-1]]
+    offsets = offsets - offsets[0]
+    inside = ~_WHITE[data]
+    bound = np.zeros(len(data) + 1, dtype=bool)
+    bound[offsets] = True
+    outside_before = np.ones(len(data), dtype=bool)
+    outside_before[1:] = ~inside[:-1]
+    outside_after = np.ones(len(data), dtype=bool)
+    outside_after[:-1] = ~inside[1:]
+    starts = np.flatnonzero(inside & (outside_before | bound[:-1]))
+    ends = np.flatnonzero(inside & (outside_after | bound[1:])) + 1
+    first = np.searchsorted(starts, offsets)
+    lines = np.cumsum(data == 10, dtype=np.int64)[starts]
+    opens_line = np.ones(len(starts), dtype=bool)
+    opens_line[1:] = lines[1:] != lines[:-1]
+    opens_line[first[:-1][first[:-1] < len(starts)]] = True
+    hashes = _run_hashes(data.astype(np.uint64) + np.uint64(1), _BYTE_BASE, starts, ends)
+    return Words(data, offsets, starts, ends, first, lines, opens_line, hashes)
+
+
+def fingerprints(words: Words, min_words: int = MIN_WORDS, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, text, first word in the text) of every fingerprint."""
+    count = len(words.hashes) - min_words + 1
+    if count < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+    at = np.arange(count)
+    shingles = _run_hashes(words.hashes, _WORD_BASE, at, at + min_words)
+    text_end = np.repeat(words.first[1:], np.diff(words.first))[:count]
+    whole = at + min_words <= text_end
+    chosen = words.opens_line[:count] & whole
+    least, reach = at, 1
+    while reach < window and len(least):
+        # The least of a longer stretch is the least of two shorter ones that cover it.
+        step = min(reach, window - reach)
+        left, right = least[:-step], least[step:]
+        least, reach = np.where(shingles[right] <= shingles[left], right, left), reach + step
+    full = at[:len(least)] + (window - 1 + min_words) <= text_end[:len(least)]
+    chosen[least[full]] = True
+    found = np.flatnonzero(chosen)
+    text = np.searchsorted(words.first[1:], found, side="right")
+    return shingles[found].view(np.int64), text, (found - words.first[text]).astype(np.int32)
+
+
+def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``SLICE_BYTES`` of text, or with one text."""
+    sizes = np.array([0 if size is None else size for size in pc.binary_length(batch.column(column)).to_pylist()], dtype=np.int64)
+    low, total = 0, 0
+    for high, size in enumerate(sizes.tolist()):
+        if high > low and total + size > SLICE_BYTES:
+            yield batch.slice(low, high - low)
+            low, total = high, 0
+        total += size
+    if low < len(sizes):
+        yield batch.slice(low)
+
+
+def document_key(id_col: str, text_col: str) -> tuple[Column, Column]:
+    """(doc_id, doc_hash) without nulls: rows without an id come first and differ in the hash."""
+    number = F.col(id_col).cast("long")
+    return F.coalesce(number, F.lit(-2**63)), F.xxhash64(whole_text(text_col), number.isNull())
+
+
+def positions(docs: DataFrame, id_col: str, text_col: str, min_words: int, placed: bool) -> DataFrame:
+    """A row per fingerprint: its hash and, if ``placed``, its document and first word."""
     ship_package(docs.sparkSession)
-    schema = "doc_id long, doc_hash long, first_unit int, last_unit int, content_a long, content_b long"
+    schema = "fp long, doc_id long, doc_hash long, at int" if placed else "fp long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _slices(batch, "text"):
+                found, text, at = fingerprints(read_words(part.column("text")), min_words)
+                if placed:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found), part.column("doc_id").take(pa.array(text)), part.column("doc_hash").take(pa.array(text)), pa.array(at)],
+                        ["fp", "doc_id", "doc_hash", "at"])
+                else:
+                    yield pa.RecordBatch.from_arrays([pa.array(found)], ["fp"])
+
+    own = [column.alias(name) for column, name in zip(document_key(id_col, text_col), _DOCUMENT, strict=True)] if placed else []
+    return docs.select(*own, whole_text(text_col).alias("text")).mapInArrow(run, schema)
+
+
+def _with_lists(docs: DataFrame, lists: DataFrame) -> DataFrame:
+    """Keyed documents beside the list of their document, or null."""
+    lists = lists.withColumnsRenamed({"doc_id": "_list_id", "doc_hash": "_list_hash"})
+    match = (F.col("_doc_id") == F.col("_list_id")) & (F.col("_doc_hash") == F.col("_list_hash"))
+    return docs.join(lists, match, "left").drop("_list_id", "_list_hash")
+
+
+def surroundings(docs: DataFrame, origins: DataFrame, text_col: str, min_words: int) -> DataFrame:
+    """(fp, first_id, first_hash, first_at, before, after): the words around each first occurrence, as 32-bit hashes.
+
+    ``docs`` are keyed; all their columns pass, so that their shuffle is the one of the deletion.
+    """
+    lists = origins.groupBy(*_DOCUMENT).agg(F.collect_list(F.struct("fp", "at")).alias("_places"))
+    fields = ["fp", "first_id", "first_hash", "first_at", "before", "after"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
-                found = [document_windows(text, min_words) for text in part.column("text").to_pylist()]
-                owner = pa.array(np.repeat(np.arange(part.num_rows), [len(windows) for windows in found]))
-                contents = np.frombuffer(b"".join(w[2] for windows in found for w in windows), dtype=">i8").astype(np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(owner), part.column("doc_hash").take(owner),
-                     pa.array([w[0] for windows in found for w in windows], pa.int32()),
-                     pa.array([w[1] for windows in found for w in windows], pa.int32()),
-                     pa.array(contents[:, 0]), pa.array(contents[:, 1])], [f.split()[0] for f in schema.split(", ")])
-
-    text = whole_text(text_col)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("doc_hash"), text.alias("text"))
-    return rows.mapInArrow(run, schema)
-
-
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, doc_hash, spans): the windows of each document that occur earlier."""
-    windows = settle(window_rows(docs, id_col, text_col, min_words), "windows")
-    origin = (windows.groupBy(*_KEYS)
-              .agg(F.min(F.struct("doc_id", "doc_hash", "first_unit", "last_unit")).alias("origin"), F.count(F.lit(1)).alias("n"))
-              .filter("n > 1").drop("n"))
-    same = F.col("doc_id").eqNullSafe(F.col("origin.doc_id")) & (F.col("doc_hash") == F.col("origin.doc_hash"))
-    later = ~same | (F.col("first_unit") > F.col("origin.last_unit"))
-    return (windows.join(origin, _KEYS).filter(later)
-            .groupBy("doc_id", "doc_hash").agg(F.collect_set(F.struct("first_unit", "last_unit")).alias("spans")))
-
-
-def without_units(text: str, spans: list[tuple[int, int]]) -> tuple[str, int]:
-    """The text without the units of the spans, and how many lines went with them."""
-    lines = text.split("\n")
-    units = document_units(text)
-    gone = np.zeros(len(units) + 1, dtype=np.int64)
-    for first, last in spans:
-        gone[first] += 1
-        gone[last + 1] -= 1
-    gone = np.cumsum(gone) > 0
-    parts: dict[int, list[tuple[bool, str]]] = {}
-    for out, (number, start, end, _) in zip(gone.tolist(), units, strict=False):
-        parts.setdefault(number, []).append((out, lines[number][start:end]))
-    kept = []
-    for number, line in enumerate(lines):
-        of_line = parts.get(number, [])
-        if not any(out for out, _ in of_line):
-            kept.append(line)
-        elif not all(out for out, _ in of_line):
-            rest = "".join(piece for out, piece in of_line if not out)
-            kept.append(rest.rstrip(_BLANK) if of_line[-1][0] else rest)
-    return "\n".join(kept), len(lines) - len(kept)
+            batch = batch.filter(batch.column("_places").is_valid())
+            for part in _slices(batch, text_col):
+                words = read_words(part.column(text_col))
+                short = words.hashes.astype(np.uint32)
+                rows = []
+                for i, places in enumerate(part.column("_places").to_pylist()):
+                    low, high = int(words.first[i]), int(words.first[i + 1])
+                    own = part.column("_doc_id")[i].as_py(), part.column("_doc_hash")[i].as_py()
+                    for place in places:
+                        a = low + place["at"]
+                        b = a + min_words
+                        rows.append((place["fp"], *own, place["at"], short[max(low, a - WINDOW + 1):a].tobytes(), short[b:min(high, b + WINDOW - 1)].tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)] if rows
+                                                 else [pa.array([], t) for t in types], fields)
+
+    around = _with_lists(docs, lists).mapInArrow(run, "fp long, first_id long, first_hash long, first_at int, before binary, after binary")
+    # Rows that repeat id and text are one document and give the same words.
+    return around.groupBy("fp").agg(F.any_value(F.struct(*fields[1:])).alias("o")).select("fp", "o.*")
+
+
+def later_matches(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """(doc_id, doc_hash, matches): the fingerprints of each document that occur earlier, with the words around the first."""
+    plain = docs.drop("_doc_id", "_doc_hash")
+    repeated = positions(plain, id_col, text_col, min_words, placed=False).groupBy("fp").count().filter("count > 1").select("fp")
+    places = settle(positions(plain, id_col, text_col, min_words, placed=True).join(repeated, "fp"), "repeated-fingerprints")
+    origins = (places.groupBy("fp").agg(F.min(F.struct(*_DOCUMENT, "at")).alias("first"))
+               .select("fp", "first.*"))
+    around = surroundings(docs, origins, text_col, min_words)
+    same = (F.col("doc_id") == F.col("first_id")) & (F.col("doc_hash") == F.col("first_hash"))
+    # Within one document a match is not extended into its own first occurrence.
+    room = F.when(same, F.col("at") - F.col("first_at") - F.lit(min_words)).otherwise(F.lit(WINDOW - 1)).cast("int")
+    return (places.join(around, "fp").withColumn("room", room).filter("room >= 0")
+            .groupBy(*_DOCUMENT).agg(F.collect_list(F.struct("at", "room", "before", "after")).alias("_matches")))
+
+
+def _agreeing(a: np.ndarray, b: np.ndarray) -> int:
+    size = min(len(a), len(b))
+    differ = np.flatnonzero(a[:size] != b[:size])
+    return int(differ[0]) if len(differ) else size
+
+
+def repeated_words(short: np.ndarray, matches: list[dict], min_words: int) -> np.ndarray:
+    """Which words of a document stand in a match, extended both ways."""
+    edge = np.zeros(len(short) + 1, dtype=np.int64)
+    for m in matches:
+        low, high, room = m["at"], m["at"] + min_words, m["room"]
+        before, after = np.frombuffer(m["before"], np.uint32), np.frombuffer(m["after"], np.uint32)
+        left = _agreeing(short[max(0, low - room):low][::-1], before[::-1])
+        right = _agreeing(short[high:high + room], after)
+        edge[low - left] += 1
+        edge[high + right] -= 1
+    return np.cumsum(edge)[:-1] > 0
+
+
+def without_words(text: bytes, starts: np.ndarray, lines: np.ndarray, gone: np.ndarray) -> tuple[bytes, int]:
+    """The text without some words, and how many lines went whole.
+
+    A word goes with the white space after it, up to the end of its line; a line
+    goes with its end if all its words go. ``starts`` and ``lines`` count in the text.
+    """
+    pieces = text.split(b"\n")
+    ahead = np.cumsum([0, *[len(piece) + 1 for piece in pieces]])
+    dropped: set[int] = set()
+    bounds = np.searchsorted(lines, np.unique(lines[gone]))
+    for low in bounds.tolist():
+        number = int(lines[low])
+        high = int(np.searchsorted(lines, number, side="right"))
+        out = gone[low:high]
+        if out.all():
+            dropped.add(number)
+            continue
+        line, cuts = pieces[number], [*(starts[low:high] - ahead[number]).tolist(), len(pieces[number])]
+        rest = line[:cuts[0]] + b"".join(line[cuts[i]:cuts[i + 1]] for i in np.flatnonzero(~out).tolist())
+        pieces[number] = rest.rstrip(_BLANK) if out[-1] else rest
+    return b"\n".join(piece for i, piece in enumerate(pieces) if i not in dropped), len(dropped)
 
 
 def delete_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """The input rows with later repeated runs deleted, plus n_lines and deleted_lines.
-
-    Runs of at least ``min_words`` words count. Units are compared without white
-    space at their ends. Earlier means a smaller id, then an earlier unit; rows
-    without an id come first. Rows that repeat id and text are one document and
-    are treated alike. ``deleted_lines`` counts lines that went whole; a line may
-    also lose some of its units. Null text stays null, with no lines. Extra columns
-    n_lines, deleted_lines or spans are replaced or left out.
+    """The input rows with later repeated runs of words deleted, plus n_lines and deleted_lines.
+
+    Runs of at least ``min_words`` words count; white space and line ends between them do not.
+    Earlier means a smaller id, then an earlier word; rows without an id come
+    first. Rows that repeat id and text are one document and are treated alike.
+    ``deleted_lines`` counts lines that went whole; a line may also lose some of its
+    words. Blank lines stay. Null text stays null, with no lines; an empty table gives
+    an empty one. Extra columns n_lines, deleted_lines or of inner names are replaced or left out.
     """
     require_columns(docs, [id_col, text_col])
-    docs = own_columns(docs, ["n_lines", "deleted_lines", "spans", "_doc_id", "_doc_hash", "doc_hash"], [id_col, text_col])
-    spans = repeated_spans(docs, id_col, text_col, min_words).withColumnsRenamed({"doc_id": "_doc_id", "doc_hash": "_doc_hash"})
-    joined = docs.join(
-        spans, F.col(id_col).cast("long").eqNullSafe(F.col("_doc_id")) & (F.xxhash64(whole_text(text_col)) == F.col("_doc_hash")), "left")
+    docs = own_columns(docs, ["n_lines", "deleted_lines", "_doc_id", "_doc_hash", "_list_id", "_list_hash", "_matches", "_places"], [id_col, text_col])
     names = docs.columns
+    keyed = docs.withColumns(dict(zip(["_doc_id", "_doc_hash"], document_key(id_col, text_col), strict=True)))
+    joined = _with_lists(keyed, later_matches(keyed, id_col, text_col, min_words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, found = batch.column(text_col).to_pylist(), batch.column("spans").to_pylist()
-            n_lines = [0 if text is None else text.count("\n") + 1 for text in texts]
-            deleted = [0] * len(texts)
-            for i, of_text in enumerate(found):
-                if of_text is not None:
-                    texts[i], deleted[i] = without_units(texts[i], [(s["first_unit"], s["last_unit"]) for s in of_text])
-            columns = [pa.array(texts, pa.string()) if name == text_col else batch.column(name) for name in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(deleted, pa.int64())],
-                                             [*names, "n_lines", "deleted_lines"])
+            for part in _slices(batch, text_col):
+                texts, deleted = part.column(text_col), [0] * part.num_rows
+                n_lines = pc.fill_null(pc.add(pc.count_substring(texts, "\n").cast(pa.int64()), 1), 0)
+                found = part.column("_matches")
+                if found.null_count < part.num_rows:
+                    new = texts.to_pylist()
+                    words = read_words(pc.fill_null(texts, ""))
+                    short = words.hashes.astype(np.uint32)
+                    for i in np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False)).tolist():
+                        low, high = int(words.first[i]), int(words.first[i + 1])
+                        gone = repeated_words(short[low:high], found[i].as_py(), min_words)
+                        begin, end = int(words.offsets[i]), int(words.offsets[i + 1])
+                        ahead = int(np.count_nonzero(words.data[begin:words.starts[low]] == 10))
+                        text, deleted[i] = without_words(words.data[begin:end].tobytes(), words.starts[low:high] - begin,
+                                                         words.lines[low:high] - words.lines[low] + ahead, gone)
+                        new[i] = text.decode()
+                    texts = pa.array(new, pa.string())
+                columns = [texts if name == text_col else part.column(name) for name in names]
+                yield pa.RecordBatch.from_arrays([*columns, n_lines, pa.array(deleted, pa.int64())], [*names, "n_lines", "deleted_lines"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("deleted_lines", T.LongType())])
-    return joined.select(*names, "spans").mapInArrow(run, schema)
+    return joined.select(*names, "_matches").mapInArrow(run, schema)

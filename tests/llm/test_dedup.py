@@ -55,47 +55,129 @@ def test_runs_are_reduced_before_every_exchange(spark):
     assert plan.count("partial_max") >= 2 and plan.count("Exchange hashpartitioning(place") == 2
 
 
-def lines_brute(rows, limit):
-    parsed = []
-    for r in {(r[0], r[1]) for r in rows}:
-        lines = [(i, x.strip(" \t\x0b\x0c\r")) for i, x in enumerate((r[1] or "").split("\n"))]
-        parsed.append((r[0] is not None, r[0] or 0, r, [x for x in lines if x[1]]))
-    parsed.sort(key=lambda p: p[:2])
-    runs, first = [], {}
-    for order, (_, _, r, lines) in enumerate(parsed):
-        count = [len(x[1].split()) for x in lines]
-        for a in range(len(lines)):
-            for b in range(a, len(lines)):
-                if sum(count[a:b + 1]) >= limit:
-                    text = tuple(x[1] for x in lines[a:b + 1])
-                    place = (order, lines[a][0], lines[b][0])
-                    runs.append((text, place))
-                    first[text] = min(first.get(text, place), place)
-    gone = {}
-    for text, place in runs:
-        origin = first[text]
-        if place[0] != origin[0] or place[1] > origin[2]:
-            gone.setdefault(place[0], set()).update(range(place[1], place[2] + 1))
+def shingle_hash(words):
+    """The operator's hash of some words, by whole numbers."""
+    def mixed(v):
+        v = (v ^ v >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+        v = (v ^ v >> 27) * 0x94D049BB133111EB % 2**64
+        return v ^ v >> 31
+
+    hashes = [mixed(sum((c + 1) * pow(0x9E3779B97F4A7C15, i, 2**64) for i, c in enumerate(w.encode())) % 2**64) for w in words]
+    return mixed(sum(h * pow(0xD1342543DE82EF95, i, 2**64) for i, h in enumerate(hashes)) % 2**64)
+
+
+def lines_brute(rows, size=10, window=19):
+    """Winnowing by plain loops and words compared as text: (id, text) to the text that is left."""
+    known, parsed = {}, []
+    for r in sorted({(r[0], r[1]) for r in rows}, key=lambda r: (r[0] is not None, r[0] or 0)):
+        words = [(n, w) for n, line in enumerate((r[1] or "").split("\n")) for w in WORD.findall(line)]
+        plain = [w for _, w in words]
+        shingles = [tuple(plain[i:i + size]) for i in range(len(plain) - size + 1)]
+        for s in shingles:
+            if s not in known:
+                known[s] = shingle_hash(s)
+        chosen = {i for i in range(len(shingles)) if i == 0 or words[i][0] != words[i - 1][0]}
+        chosen |= {min(range(i, i + window), key=lambda j: (known[shingles[j]], -j)) for i in range(len(shingles) - window + 1)}
+        parsed.append((r, words, plain, shingles, sorted(chosen)))
+    first = {}
+    for d, (_, _, _, shingles, chosen) in enumerate(parsed):
+        for i in chosen:
+            first.setdefault(shingles[i], (d, i))
     out = {}
-    for order, (_, _, r, _) in enumerate(parsed):
-        if r[1] is not None:
-            kept = [x for i, x in enumerate(r[1].split("\n")) if i not in gone.get(order, ()) or not x.strip(" \t\x0b\x0c\r")]
-            out[r[:2]] = "\n".join(kept)
-        else:
-            out[r[:2]] = None
+    for d, (r, words, plain, shingles, chosen) in enumerate(parsed):
+        gone = set()
+        for i in chosen:
+            e, o = first[shingles[i]]
+            room = i - o - size if e == d else window - 1
+            if room < 0:
+                continue
+            other, left, right = parsed[e][2], 0, 0
+            while left < min(room, window - 1, i, o) and plain[i - left - 1] == other[o - left - 1]:
+                left += 1
+            while right < min(room, window - 1) and i + size + right < len(plain) and o + size + right < len(other) \
+                    and plain[i + size + right] == other[o + size + right]:
+                right += 1
+            gone |= set(range(i - left, i + size + right))
+        kept = []
+        for n, line in enumerate((r[1] or "").split("\n")):
+            own = [i for i, w in enumerate(words) if w[0] == n]
+            if gone.isdisjoint(own):
+                kept.append(line)
+            elif not gone.issuperset(own):
+                at = iter(own)
+                rest = re.sub(r"([^\x20\x09-\x0D]+)[ \t\x0b\x0c\r]*", lambda m: "" if next(at) in gone else m[0], line)  # noqa: B023
+                kept.append(rest.rstrip(" \t\x0b\x0c\r") if own[-1] in gone else rest)
+        out[r] = None if r[1] is None else "\n".join(kept)
     return out
 
 
-def test_line_dedup_equals_all_repeated_runs(spark):
-    """Brute force takes every run of enough words, not only windows."""
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_line_dedup_equals_brute_force(spark, partitions):
+    """All awkward rows; lines of every length; a shared passage broken and placed in many ways."""
+    rnd = np.random.default_rng(3)
+    word = lambda: "".join(chr(97 + c) for c in rnd.integers(0, 26, 5))
     shared = "alpha beta gamma delta\nepsilon zeta eta theta iota\nkappa lambda mu nu"
-    rows = [r for r in awkward_rows() if r[0] != 204]
+    passage = [word() for _ in range(70)]
+    rows = awkward_rows()
     rows += [(400, f"one line here\n{shared}\nend", "en", "s", 1), (401, f"other\n{shared}\n\nkappa lambda", "en", "s", 1),
-             (402, "\n".join(["same line again and again it comes back once more"] * 5), "en", "s", 1)]
-    expected = lines_brute(rows, 10)
-    got = delete_repeated_lines(clashing(docs(spark, rows), ["spans", "n_lines", "doc_hash"])).select("doc_id", "text", "n_chars").collect()
-    assert len(got) == len(rows)
+             (402, "\n".join(["same line again and again it comes back once more"] * 5), "en", "s", 1),
+             (403, " ".join(["word"] * 3000), "en", "s", 1), (404, " ".join(["a", "b"] * 200) + " \n  c", "en", "s", 1)]
+    for i in range(40):
+        a, b = sorted(rnd.integers(0, 71, 2).tolist())
+        parts = [word() for _ in range(rnd.integers(0, 30))] + passage[a:b] + [word() for _ in range(rnd.integers(0, 30))]
+        rows.append((410 + i, "".join(w + ["  ", "\n", " \n\n ", *[" "] * 12][rnd.integers(0, 15)] for w in parts), "en", "s", 1))
+    expected = lines_brute(rows)
+    table = clashing(docs(spark, rows), ["spans", "n_lines", "doc_hash", "_matches", "_doc_id"]).repartition(partitions)
+    got = delete_repeated_lines(table).select("doc_id", "text", "n_lines", "deleted_lines").collect()
     assert sorted(((r[0], r[1]) for r in got), key=key) == sorted(((r[0], expected[r[0], r[1]]) for r in rows), key=key)
+    lines = {(r[0], expected[r[0], r[1]]): (r[1].count("\n") + 1 if r[1] is not None else 0) for r in rows}
+    assert all(r.n_lines == lines[r[0], r[1]] and r.deleted_lines <= r.n_lines for r in got)
+    by_id = {r.doc_id: r for r in got}
+    assert by_id[401].text == "other\n\nkappa lambda" and by_id[401].deleted_lines == 3
+    assert by_id[402].text == "same line again and again it comes back once more" and by_id[402].deleted_lines == 4
+    # The line's start and then the last shingle of the first window are its first fingerprints.
+    assert by_id[403].text == " ".join(["word"] * 18)
+
+
+@pytest.mark.parametrize("kind", ["a line inside a longer one", "two lines of thirty", "inside two long lines"])
+def test_line_dedup_finds_runs_of_28_words_wherever_they_stand(spark, kind):
+    rnd = np.random.default_rng(28)
+    words = lambda n: ["".join(chr(97 + c) for c in rnd.integers(0, 26, 6)) for _ in range(n)]
+    rows, expected = [], {}
+    for i in range(200):
+        run = words(28 if kind == "two lines of thirty" else 30)
+        if kind == "a line inside a longer one":
+            first, around = run, (words(20), words(25))
+        elif kind == "two lines of thirty":
+            first, around = [*words(2), *run], ([], words(2))
+        else:
+            first, around = [*words(40), *run, *words(15)], (words(12), words(60))
+        rows += [(i, " ".join(first), "en", "s", 1), (1000 + i, " ".join([*around[0], *run, *around[1]]), "en", "s", 1)]
+        expected |= {i: rows[-2][1], 1000 + i: " ".join([*around[0], *around[1]])}
+    assert {r.doc_id: r.text for r in delete_repeated_lines(docs(spark, rows)).collect()} == expected
+
+
+def test_line_dedup_leaves_clean_prose(spark):
+    """Texts over a few hundred words that share no ten words in a row."""
+    rnd = np.random.default_rng(9)
+    vocabulary = [f"w{i}" for i in range(300)]
+    rows = [(i, "\n".join(" ".join(rnd.choice(vocabulary, rnd.integers(1, 90))) for _ in range(8)), "en", "s", 1) for i in range(200)]
+    assert {r.doc_id: r.text for r in delete_repeated_lines(docs(spark, rows)).collect()} == {r[0]: r[1] for r in rows}
+
+
+def test_line_dedup_shuffles_texts_once(spark):
+    """The texts' shuffle serves both joins; lists of matches need none beside their grouping."""
+    rows = [(i, f"text {i} " + " ".join(f"word{j}" for j in range(40)), "en", "s", 1) for i in range(4)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = delete_repeated_lines(docs(spark, rows).repartition(3))
+        assert len(got.collect()) == 4
+        plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("ReusedExchange") == 1 and plan.count("Exchange hashpartitioning(_doc_id") == 2
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Exchange hashpartitioning(_list_id" not in plan
 
 
 @pytest.mark.parametrize("size", [60, 48])
