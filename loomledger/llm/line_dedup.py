@@ -4,8 +4,8 @@ A document is the sequence of its words, whatever lines they stand in, so a line
 meets its copy inside a longer line and short lines meet long ones. A shingle is
 ``min_words`` words in a row; its hash is made from the words alone.
 
-1. Of every ``WINDOW`` shingles in a row the one of smallest hash (the last, on ties)
-   is a fingerprint, and so is the shingle at the start of every line. Two equal
+1. Of every ``WINDOW`` shingles in a row the one of smallest hash (by its upper 32
+   bits; the last, on ties) is a fingerprint, and so is the shingle at the start of every line. Two equal
    runs of ``min_words + WINDOW - 1`` words therefore share a fingerprint at the
    same place, as do equal lines of ``min_words`` words or more.
 2. Hashes are counted, pre-aggregated by each task; fingerprints that occur once are
@@ -44,24 +44,24 @@ from loomledger.llm.common import own_columns, require_columns, settle, ship_pac
 MIN_WORDS = 10
 WINDOW = 19
 #: Bytes of text hashed at once; a longer text is taken alone.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 _DOCUMENT = ["doc_id", "doc_hash"]
 _BLANK = b" \t\x0b\x0c\r"
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[32, *range(9, 14)]] = True
+_POWERS: dict[int, np.ndarray] = {}
 _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 
 
 @dataclass
 class Words:
-    """The words of some texts: byte spans, bounds of each text, first words of lines, hashes."""
+    """The words of some texts: byte spans, the first word of each text, which words open a line, hashes."""
 
     data: np.ndarray
     offsets: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
     first: np.ndarray
-    lines: np.ndarray
     opens_line: np.ndarray
     hashes: np.ndarray
 
@@ -73,17 +73,22 @@ def _mixed(values: np.ndarray) -> np.ndarray:
 
 
 def _powers(base: int, count: int) -> np.ndarray:
-    powers = np.full(count + 1, base, dtype=np.uint64)
-    powers[0] = 1
-    return np.cumprod(powers, dtype=np.uint64)
+    """1, base, base squared and so on, kept by the worker for texts of usual size."""
+    known = _POWERS.get(base)
+    if known is None or len(known) < count:
+        powers = np.full(max(count, SLICE_BYTES + 1), base, dtype=np.uint64)
+        powers[0] = 1
+        known = np.cumprod(powers, dtype=np.uint64)
+        if count <= SLICE_BYTES + 1:
+            _POWERS[base] = known
+    return known[:count]
 
 
 def _run_hashes(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The hash of every run ``values[start:end]``, the same wherever the run stands."""
     sums = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * _powers(base, len(values))[:-1], out=sums[1:])
-    back = _powers(pow(base, -1, 2**64), len(values))
-    return _mixed((sums[ends] - sums[starts]) * back[starts])
+    np.cumsum(values * _powers(base, len(values)), out=sums[1:])
+    return _mixed((sums[ends] - sums[starts]) * _powers(pow(base, -1, 2**64), len(values))[starts])
 
 
 def read_words(texts: pa.Array) -> Words:
@@ -101,12 +106,12 @@ def read_words(texts: pa.Array) -> Words:
     starts = np.flatnonzero(inside & (outside_before | bound[:-1]))
     ends = np.flatnonzero(inside & (outside_after | bound[1:])) + 1
     first = np.searchsorted(starts, offsets)
-    lines = np.cumsum(data == 10, dtype=np.int64)[starts]
-    opens_line = np.ones(len(starts), dtype=bool)
-    opens_line[1:] = lines[1:] != lines[:-1]
-    opens_line[first[:-1][first[:-1] < len(starts)]] = True
+    opens_line = np.zeros(len(starts) + 1, dtype=bool)
+    opens_line[np.searchsorted(starts, np.flatnonzero(data == 10))] = True
+    opens_line[first[:-1]] = True
+    opens_line = opens_line[:-1]
     hashes = _run_hashes(data.astype(np.uint64) + np.uint64(1), _BYTE_BASE, starts, ends)
-    return Words(data, offsets, starts, ends, first, lines, opens_line, hashes)
+    return Words(data, offsets, starts, ends, first, opens_line, hashes)
 
 
 def fingerprints(words: Words, min_words: int = MIN_WORDS, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,14 +124,14 @@ def fingerprints(words: Words, min_words: int = MIN_WORDS, window: int = WINDOW)
     text_end = np.repeat(words.first[1:], np.diff(words.first))[:count]
     whole = at + min_words <= text_end
     chosen = words.opens_line[:count] & whole
-    least, reach = at, 1
+    # Upper half of the hash, then the place from the right: the least key is the last of the smallest hashes.
+    least, reach = (shingles & np.uint64(0xFFFFFFFF00000000)) | (np.uint64(0xFFFFFFFF) - at.astype(np.uint64)), 1
     while reach < window and len(least):
         # The least of a longer stretch is the least of two shorter ones that cover it.
         step = min(reach, window - reach)
-        left, right = least[:-step], least[step:]
-        least, reach = np.where(shingles[right] <= shingles[left], right, left), reach + step
+        least, reach = np.minimum(least[:-step], least[step:]), reach + step
     full = at[:len(least)] + (window - 1 + min_words) <= text_end[:len(least)]
-    chosen[least[full]] = True
+    chosen[(np.uint64(0xFFFFFFFF) - (least[full] & np.uint64(0xFFFFFFFF))).astype(np.int64)] = True
     found = np.flatnonzero(chosen)
     text = np.searchsorted(words.first[1:], found, side="right")
     return shingles[found].view(np.int64), text, (found - words.first[text]).astype(np.int32)
@@ -224,46 +229,75 @@ def later_matches(docs: DataFrame, id_col: str, text_col: str, min_words: int) -
             .groupBy(*_DOCUMENT).agg(F.collect_list(F.struct("at", "room", "before", "after")).alias("_matches")))
 
 
-def _agreeing(a: np.ndarray, b: np.ndarray) -> int:
-    size = min(len(a), len(b))
-    differ = np.flatnonzero(a[:size] != b[:size])
-    return int(differ[0]) if len(differ) else size
-
-
-def repeated_words(short: np.ndarray, matches: list[dict], min_words: int) -> np.ndarray:
-    """Which words of a document stand in a match, extended both ways."""
-    edge = np.zeros(len(short) + 1, dtype=np.int64)
-    for m in matches:
-        low, high, room = m["at"], m["at"] + min_words, m["room"]
-        before, after = np.frombuffer(m["before"], np.uint32), np.frombuffer(m["after"], np.uint32)
-        left = _agreeing(short[max(0, low - room):low][::-1], before[::-1])
-        right = _agreeing(short[high:high + room], after)
-        edge[low - left] += 1
-        edge[high + right] -= 1
+def _hash_lists(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The 32-bit hashes of all lists, and where each list starts and ends."""
+    bounds = np.frombuffer(lists.buffers()[1], np.int32)[lists.offset:lists.offset + len(lists) + 1] // 4
+    values = np.frombuffer(lists.buffers()[2] or b"", np.uint8)
+    return values[:len(values) // 4 * 4].view(np.uint32), bounds[:-1], bounds[1:]
+
+
+def _agreeing(own: np.ndarray, own_at: np.ndarray, other: np.ndarray, other_at: np.ndarray, most: np.ndarray, way: int) -> np.ndarray:
+    """How many words in a row agree, from the given places on and ``most`` at most, forwards or backwards."""
+    agree = np.zeros(len(own_at), dtype=np.int64)
+    active = np.flatnonzero(most > 0)
+    for step in range(WINDOW - 1):
+        active = active[own[own_at[active] + way * step] == other[other_at[active] + way * step]]
+        agree[active] = step + 1
+        active = active[most[active] > step + 1]
+    return agree
+
+
+def repeated_words(words: Words, found: pa.ListArray, min_words: int) -> np.ndarray:
+    """Which words stand in a match of their text, extended both ways."""
+    short = words.hashes.astype(np.uint32)
+    matches = found.flatten()
+    text = np.repeat(np.arange(len(found)), pc.fill_null(pc.list_value_length(found), 0).to_numpy())
+    at, room = (matches.field(name).to_numpy().astype(np.int64) for name in ("at", "room"))
+    low = words.first[text] + at
+    high = low + min_words
+    before, begin, end = _hash_lists(matches.field("before"))
+    left = _agreeing(short, low - 1, before, end.astype(np.int64) - 1, np.minimum(np.minimum(room, at), end - begin), -1)
+    after, begin, end = _hash_lists(matches.field("after"))
+    right = _agreeing(short, high, after, begin.astype(np.int64), np.minimum(np.minimum(room, words.first[text + 1] - high), end - begin), 1)
+    edge = np.bincount(low - left, minlength=len(short) + 1) - np.bincount(high + right, minlength=len(short) + 1)
     return np.cumsum(edge)[:-1] > 0
 
 
-def without_words(text: bytes, starts: np.ndarray, lines: np.ndarray, gone: np.ndarray) -> tuple[bytes, int]:
-    """The text without some words, and how many lines went whole.
+def without_words(words: Words, gone: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The texts without some words, and how many lines of each went whole.
 
     A word goes with the white space after it, up to the end of its line; a line
-    goes with its end if all its words go. ``starts`` and ``lines`` count in the text.
+    goes with its end if all its words go.
     """
-    pieces = text.split(b"\n")
-    ahead = np.cumsum([0, *[len(piece) + 1 for piece in pieces]])
-    dropped: set[int] = set()
-    bounds = np.searchsorted(lines, np.unique(lines[gone]))
-    for low in bounds.tolist():
-        number = int(lines[low])
-        high = int(np.searchsorted(lines, number, side="right"))
-        out = gone[low:high]
-        if out.all():
-            dropped.add(number)
-            continue
-        line, cuts = pieces[number], [*(starts[low:high] - ahead[number]).tolist(), len(pieces[number])]
-        rest = line[:cuts[0]] + b"".join(line[cuts[i]:cuts[i + 1]] for i in np.flatnonzero(~out).tolist())
-        pieces[number] = rest.rstrip(_BLANK) if out[-1] else rest
-    return b"\n".join(piece for i, piece in enumerate(pieces) if i not in dropped), len(dropped)
+    size, texts = len(words.data), len(words.offsets) - 1
+    opening = np.flatnonzero(words.opens_line)
+    line = np.cumsum(words.opens_line) - 1
+    last = np.append(opening[1:], len(gone)) - 1
+    owner = np.searchsorted(words.first[1:], opening, side="right")
+    newlines = np.concatenate([[-1], np.flatnonzero(words.data == 10), [size]])
+    place = np.searchsorted(newlines, words.starts[opening])
+    line_begin = np.maximum(words.offsets[owner], newlines[place - 1] + 1)
+    line_end = np.minimum(words.offsets[owner + 1], newlines[place])
+    whole = np.logical_and.reduceat(gone, opening)
+    out = np.flatnonzero(gone & ~whole[line])
+    following = np.append(words.starts[1:], size)
+    until = np.where(out == last[line[out]], line_end[line[out]], following[out])
+    # White space ahead of a line's deleted end goes too.
+    kept = np.maximum.reduceat(np.where(gone, -1, np.arange(len(gone))), opening)
+    ragged = np.flatnonzero(~whole & gone[last])
+    edge = np.zeros(size + 1, dtype=np.int64)
+    for begin, end in ((words.starts[out], until), (words.ends[kept[ragged]], line_end[ragged]),
+                       (line_begin[whole], np.minimum(line_end[whole] + 1, words.offsets[owner[whole] + 1]))):
+        edge += np.bincount(begin, minlength=size + 1) - np.bincount(end, minlength=size + 1)
+    stays = np.cumsum(edge)[:-1] == 0
+    for i in owner[whole & (line_end == words.offsets[owner + 1])].tolist():
+        # The text's last line went: so does the line end that stands last now.
+        rest = np.flatnonzero(stays[words.offsets[i]:words.offsets[i + 1]])
+        if len(rest):
+            stays[words.offsets[i] + rest[-1]] = False
+    ahead = np.concatenate([[0], np.cumsum(stays)])[words.offsets].astype(np.int64)
+    left = pa.LargeStringArray.from_buffers(texts, pa.py_buffer(ahead), pa.py_buffer(words.data[stays]))
+    return left.cast(pa.string()), np.bincount(owner[whole], minlength=texts)
 
 
 def delete_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -285,24 +319,15 @@ def delete_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _slices(batch, text_col):
-                texts, deleted = part.column(text_col), [0] * part.num_rows
+                texts, deleted = part.column(text_col), np.zeros(part.num_rows, dtype=np.int64)
                 n_lines = pc.fill_null(pc.add(pc.count_substring(texts, "\n").cast(pa.int64()), 1), 0)
                 found = part.column("_matches")
                 if found.null_count < part.num_rows:
-                    new = texts.to_pylist()
                     words = read_words(pc.fill_null(texts, ""))
-                    short = words.hashes.astype(np.uint32)
-                    for i in np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False)).tolist():
-                        low, high = int(words.first[i]), int(words.first[i + 1])
-                        gone = repeated_words(short[low:high], found[i].as_py(), min_words)
-                        begin, end = int(words.offsets[i]), int(words.offsets[i + 1])
-                        ahead = int(np.count_nonzero(words.data[begin:words.starts[low]] == 10))
-                        text, deleted[i] = without_words(words.data[begin:end].tobytes(), words.starts[low:high] - begin,
-                                                         words.lines[low:high] - words.lines[low] + ahead, gone)
-                        new[i] = text.decode()
-                    texts = pa.array(new, pa.string())
+                    left, deleted = without_words(words, repeated_words(words, found, min_words))
+                    texts = pc.if_else(texts.is_valid(), left, texts)
                 columns = [texts if name == text_col else part.column(name) for name in names]
-                yield pa.RecordBatch.from_arrays([*columns, n_lines, pa.array(deleted, pa.int64())], [*names, "n_lines", "deleted_lines"])
+                yield pa.RecordBatch.from_arrays([*columns, n_lines, pa.array(deleted)], [*names, "n_lines", "deleted_lines"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("deleted_lines", T.LongType())])
     return joined.select(*names, "_matches").mapInArrow(run, schema)

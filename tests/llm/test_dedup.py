@@ -77,7 +77,7 @@ def lines_brute(rows, size=10, window=19):
             if s not in known:
                 known[s] = shingle_hash(s)
         chosen = {i for i in range(len(shingles)) if i == 0 or words[i][0] != words[i - 1][0]}
-        chosen |= {min(range(i, i + window), key=lambda j: (known[shingles[j]], -j)) for i in range(len(shingles) - window + 1)}
+        chosen |= {min(range(i, i + window), key=lambda j: (known[shingles[j]] >> 32, -j)) for i in range(len(shingles) - window + 1)}
         parsed.append((r, words, plain, shingles, sorted(chosen)))
     first = {}
     for d, (_, _, _, shingles, chosen) in enumerate(parsed):
