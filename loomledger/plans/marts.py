@@ -121,8 +121,9 @@ def dim_credit_facilities(positions: DataFrame, customers: DataFrame) -> DataFra
     )
 
 
-def _with_lending_parents(fact: DataFrame, facilities: DataFrame, customers: DataFrame,
-                          carry: tuple[str, ...] = ()) -> DataFrame:
+def lending_parents(fact: DataFrame, facilities: DataFrame, customers: DataFrame,
+                    carry: tuple[str, ...] = ()) -> DataFrame:
+    """A fact with ``has_facility`` and ``has_customer``, and ``carry`` from the facility."""
     linked = with_parent(fact, facilities, "facility_id", "has_facility", carry)
     return with_parent(linked, customers, "customer_id", "has_customer")
 
@@ -130,14 +131,18 @@ def _with_lending_parents(fact: DataFrame, facilities: DataFrame, customers: Dat
 def orphan_flags(fact: DataFrame, customers: DataFrame, facilities: DataFrame | None = None) -> DataFrame:
     """Only whether each row of a fact lacks a parent; the fact needs no more than its parents' keys."""
     if facilities is not None:
-        return _with_lending_parents(fact, facilities, customers).select(
+        return lending_parents(fact, facilities, customers).select(
             missing_any("has_facility", "has_customer").alias("is_orphaned"))
     return with_parent(fact, customers, "customer_id", "has_customer").select(missing_any("has_customer").alias("is_orphaned"))
 
 
 def fct_drawdowns(drawdowns: DataFrame, facilities: DataFrame, customers: DataFrame) -> DataFrame:
     """``facilities`` and ``customers`` need only their keys (and approval date)."""
-    return _with_lending_parents(drawdowns, facilities, customers, ("approval_date",)).select(
+    return drawdown_columns(lending_parents(drawdowns, facilities, customers, ("approval_date",)))
+
+
+def drawdown_columns(linked: DataFrame) -> DataFrame:
+    return linked.select(
         "drawdown_id", "facility_id", "customer_id", "amount", "currency", "drawdown_date", "purpose", "status",
         c.days_between(F.col("approval_date"), F.col("drawdown_date")).alias("days_since_facility_approval"),
         missing_any("has_facility", "has_customer").alias("is_orphaned"),
@@ -145,7 +150,11 @@ def fct_drawdowns(drawdowns: DataFrame, facilities: DataFrame, customers: DataFr
 
 
 def fct_repayments(repayments: DataFrame, facilities: DataFrame, customers: DataFrame) -> DataFrame:
-    return _with_lending_parents(repayments, facilities, customers).select(
+    return repayment_columns(lending_parents(repayments, facilities, customers))
+
+
+def repayment_columns(linked: DataFrame) -> DataFrame:
+    return linked.select(
         "repayment_id", "drawdown_id", "facility_id", "customer_id", "scheduled_amount", "actual_amount",
         "currency", "due_date", "actual_date",
         c.days_between(F.col("due_date"), F.col("actual_date")).alias("scheduled_vs_actual_lag_days"),

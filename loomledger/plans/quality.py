@@ -10,15 +10,18 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loomledger.functions import fixed
 from loomledger.operators.keys import broken_links
 from loomledger.plans.entities import ENTITIES
+from loomledger.plans.warehouse import Warehouse
 from loomledger.sources.envelope import ENVELOPE, RAW_ROOT
 
 ERROR, WARN = "error", "warn"
+# Tests that look at one row at a time.
+BY_ROW = ("not_null", "accepted_values", "expression_is_true")
 RESULT_COLUMNS = ["model", "column", "test", "severity", "failures", "status"]
 
 
@@ -191,11 +194,10 @@ def run_checks(model: Callable[[str], DataFrame], checks: list[Check]) -> DataFr
     however large the models are.
     """
     parts: list[DataFrame] = []
-    simple = ("not_null", "accepted_values", "expression_is_true")
     for name in dict.fromkeys(check.model for check in checks):
         own = [check for check in checks if check.model == name]
         table = model(name)
-        by_column = [check for check in own if check.test in simple]
+        by_column = [check for check in own if check.test in BY_ROW]
         if by_column:
             parts.append(_column_results(table, by_column))
         for check in own:
@@ -206,11 +208,50 @@ def run_checks(model: Callable[[str], DataFrame], checks: list[Check]) -> DataFr
                 parent, parent_column = check.parent
                 parts.append(_single_result(
                     broken_rows(table, check.column, model(parent), parent_column), check))
-    results = reduce(lambda a, b: a.unionByName(b), parts)
+    return _with_status(reduce(lambda a, b: a.unionByName(b), parts))
+
+
+def _with_status(results: DataFrame) -> DataFrame:
     status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == ERROR, "fail").otherwise("warn")
     return results.withColumn("status", status).select(*RESULT_COLUMNS)
 
 
+class WriteChecks:
+    """Checks whose row-wise part is counted while the models are written.
+
+    Pass ``watch`` to ``tables.build``; each model then reports its counts with
+    its write. ``results`` reads written models only for what needs a state per
+    key (uniqueness, relationships) and for models that were not written.
+    """
+
+    def __init__(self, checks: list[Check]):
+        self.checks = checks
+        self._seen: dict[str, Observation] = {}
+
+    def _by_row(self, model: str) -> list[Check]:
+        return [check for check in self.checks if check.model == model and check.test in BY_ROW]
+
+    def watch(self, model: str, rows: DataFrame) -> DataFrame:
+        own = self._by_row(model)
+        if not own:
+            return rows
+        self._seen[model] = Observation(f"checks of {model}")
+        return rows.observe(self._seen[model], *[_violations(check).alias(f"c{i}") for i, check in enumerate(own)])
+
+    def results(self, written: Warehouse) -> DataFrame:
+        """One row per check, as ``run_checks`` gives them. Each watched model must have been written once."""
+        counted = []
+        for model, seen in self._seen.items():
+            failures = seen.get
+            counted += [(check.model, check.column, check.test, check.severity, int(failures[f"c{i}"]))
+                        for i, check in enumerate(self._by_row(model))]
+        taken = written.spark.createDataFrame(
+            counted, "model string, column string, test string, severity string, failures bigint")
+        left = [check for check in self.checks if check.test not in BY_ROW or check.model not in self._seen]
+        taken = _with_status(taken)
+        return taken.unionByName(run_checks(written.model, left)) if left else taken
+
+
 class ChecksFailed(Exception):
     """At least one error-level check has failures."""
 

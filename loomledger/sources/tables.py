@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -65,23 +66,30 @@ def materialise(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def build(warehouse: Warehouse, folder: str, with_intermediate: bool = False) -> Warehouse:
+def build(warehouse: Warehouse, folder: str, with_intermediate: bool = False,
+          watch: Callable[[str, DataFrame], DataFrame] | None = None) -> Warehouse:
     """Write all staging tables and marts under ``folder``.
 
     Each raw payload is parsed once per run; marts are planned over written
     staging, and facts look keys up in the written dimensions. Intermediate
     models stay lazy views unless asked for, which pays when checks read them
-    several times.
+    several times. ``watch`` gets every model by name before it is written
+    (``quality.WriteChecks.watch``).
     """
     spark = warehouse.spark
+    watch = watch or (lambda _, rows: rows)
+
+    def put(kind: str, name: str, rows: DataFrame) -> DataFrame:
+        return materialise(spark, watch(name, rows), f"{folder}/{kind}/{name}")
+
     built = Warehouse(spark, warehouse.raw, warehouse.now, strict=warehouse.strict)
     for name, entity in ENTITIES.items():
-        built.tables[entity.table] = materialise(spark, warehouse.staged(name), f"{folder}/staging/{entity.table}")
+        built.tables[entity.table] = put("staging", entity.table, warehouse.staged(name))
     if with_intermediate:
         for name in INTERMEDIATE_NAMES:
-            built.tables[name] = materialise(spark, built.model(name), f"{folder}/intermediate/{name}")
+            built.tables[name] = put("intermediate", name, built.model(name))
     for mart in MART_NAMES:
-        built.tables[mart] = materialise(spark, built.model(mart), f"{folder}/marts/{mart}")
+        built.tables[mart] = put("marts", mart, built.model(mart))
     return built
 
 

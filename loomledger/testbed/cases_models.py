@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from loomledger.functions import columns as c
 from loomledger.plans import reports as r
+from loomledger.plans.colocated import BucketedStar
 from loomledger.plans.entities import ENTITIES
 from loomledger.plans.units import written
+from loomledger.session import shared_folder
+from loomledger.sources.tables import MART_SCHEMAS
 from loomledger.testbed.catalog import register
+from loomledger.testbed.landing import built_warehouse
 from loomledger.testbed.landing import warehouse as wh
 
 # A customer with rows in every fact, and the reporting clock.
@@ -53,6 +57,15 @@ register("fct_fx_transactions", lambda s, d: wh(s, d).fct_fx_transactions(),
          "transaction_id customer_id base_currency quote_currency currency_pair notional_base notional_quote "
          "effective_rate rate_type transaction_date is_orphaned", "SELECT * FROM fct_x")
 
+
+def _star(s, d: str) -> BucketedStar:
+    return BucketedStar(built_warehouse(s, d), shared_folder(s, "star"), 16)
+
+
+for _fact, _table in {"fct_drawdowns": "fct_d", "fct_repayments": "fct_r", "fct_fx_transactions": "fct_x"}.items():
+    register(f"bucketed_{_fact}", lambda s, d, fact=_fact: getattr(_star(s, d), fact)(),
+             " ".join(field.split()[0] for field in MART_SCHEMAS[_fact].split(", ")), f"SELECT * FROM {_table}")
+
 # --- report pack ------------------------------------------------------------
 
 _TOP = "company_name lifetime_arr total_facility_limit total_drawn_amount"

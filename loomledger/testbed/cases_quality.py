@@ -11,6 +11,7 @@ from loomledger.plans.entities import ENTITIES
 from loomledger.plans.staging import cleansed, parsed
 from loomledger.session import shared_folder
 from loomledger.sources.envelope import write_raw_events
+from loomledger.sources.tables import build
 from loomledger.testbed import landing as ld
 from loomledger.testbed.catalog import register
 from loomledger.testbed.oracle import NOW
@@ -73,6 +74,12 @@ for _name, _checks in {
 
 _ALL = [*q.SUITE, *q.EXTRA_CHECKS]
 register("dq_suite", _run(_ALL), _RESULT, _expected(_ALL))
+def _while_writing(s, d: str) -> DataFrame:
+    checks = q.WriteChecks(_ALL)
+    return checks.results(build(ld.warehouse(s, d), shared_folder(s, "checked"), with_intermediate=True, watch=checks.watch))
+
+
+register("dq_suite_while_writing", _while_writing, _RESULT, _expected(_ALL))
 register("dq_run_summary", lambda s, d: q.run_summary(q.as_run_results(_run(_ALL)(s, d))),
          "models_ok models_failed tests_ok tests_failed skipped",
          "SELECT CAST(0 AS BIGINT) AS models_ok, CAST(0 AS BIGINT) AS models_failed, "
