@@ -42,6 +42,8 @@ from pyspark.sql import types as T
 from loomledger.llm.common import own_columns, require_columns, settle, ship_package, whole_text
 
 MIN_WORDS = 10
+# A fingerprint is frequent with more than one in SHARES of all repeated places; its places are dealt into PARTS.
+SHARES, PARTS = 1000, 64
 WINDOW = 19
 #: Bytes of text hashed at once; a longer text is taken alone.
 SLICE_BYTES = 500_000
@@ -214,18 +216,42 @@ def surroundings(docs: DataFrame, origins: DataFrame, text_col: str, min_words:
     return around.groupBy("fp").agg(F.any_value(F.struct(*fields[1:])).alias("o")).select("fp", "o.*")
 
 
+def frequent(counts: DataFrame) -> DataFrame:
+    """(fp, frequent): fingerprints with more than one in ``SHARES`` of the repeated places, so fewer than ``SHARES`` rows."""
+    bar = counts.agg((F.sum("count") / F.lit(SHARES)).alias("bar")).scalar()
+    return F.broadcast(counts.filter(F.col("count") > bar).select("fp", F.lit(True).alias("frequent")))
+
+
+def dealt(places: DataFrame, often: DataFrame) -> DataFrame:
+    """Places with a part by which those of a frequent fingerprint are spread."""
+    part = F.when(F.col("frequent"), F.pmod(F.xxhash64(*_DOCUMENT, "at"), F.lit(PARTS))).otherwise(F.lit(0)).cast("int")
+    return places.join(often, "fp", "left").withColumn("part", part).drop("frequent")
+
+
+def for_each_part(rows: DataFrame, often: DataFrame) -> DataFrame:
+    """Rows per fingerprint, once for every part that its places may bear."""
+    parts = F.when(F.col("frequent"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    return rows.join(often, "fp", "left").withColumn("part", F.explode(parts)).drop("frequent")
+
+
 def later_matches(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """(doc_id, doc_hash, matches): the fingerprints of each document that occur earlier, with the words around the first."""
+    """(doc_id, doc_hash, matches): the fingerprints of each document that occur earlier, with the words around the first.
+
+    Places of frequent fingerprints are spread over parts, so that neither join brings them to one task.
+    """
     plain = docs.drop("_doc_id", "_doc_hash")
-    repeated = positions(plain, id_col, text_col, min_words, placed=False).groupBy("fp").count().filter("count > 1").select("fp")
-    places = settle(positions(plain, id_col, text_col, min_words, placed=True).join(repeated, "fp"), "repeated-fingerprints")
+    counts = settle(positions(plain, id_col, text_col, min_words, placed=False).groupBy("fp").count().filter("count > 1"),
+                    "fingerprint-counts")
+    often = frequent(counts)
+    places = settle(dealt(positions(plain, id_col, text_col, min_words, placed=True), often)
+                    .join(for_each_part(counts.select("fp"), often), ["fp", "part"]), "repeated-fingerprints")
     origins = (places.groupBy("fp").agg(F.min(F.struct(*_DOCUMENT, "at")).alias("first"))
                .select("fp", "first.*"))
     around = surroundings(docs, origins, text_col, min_words)
     same = (F.col("doc_id") == F.col("first_id")) & (F.col("doc_hash") == F.col("first_hash"))
     # Within one document a match is not extended into its own first occurrence.
     room = F.when(same, F.col("at") - F.col("first_at") - F.lit(min_words)).otherwise(F.lit(WINDOW - 1)).cast("int")
-    return (places.join(around, "fp").withColumn("room", room).filter("room >= 0")
+    return (places.join(for_each_part(around, often), ["fp", "part"]).withColumn("room", room).filter("room >= 0")
             .groupBy(*_DOCUMENT).agg(F.collect_list(F.struct("at", "room", "before", "after")).alias("_matches")))
 
 
