@@ -237,21 +237,25 @@ def for_each_part(rows: DataFrame, often: DataFrame) -> DataFrame:
 def later_matches(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
     """(doc_id, doc_hash, matches): the fingerprints of each document that occur earlier, with the words around the first.
 
-    Places of frequent fingerprints are spread over parts, so that neither join brings them to one task.
+    Places of frequent fingerprints are spread over parts in the first join and stay
+    where they are in the second, so that neither brings them to one task.
     """
     plain = docs.drop("_doc_id", "_doc_hash")
     counts = settle(positions(plain, id_col, text_col, min_words, placed=False).groupBy("fp").count().filter("count > 1"),
                     "fingerprint-counts")
     often = frequent(counts)
     places = settle(dealt(positions(plain, id_col, text_col, min_words, placed=True), often)
-                    .join(for_each_part(counts.select("fp"), often), ["fp", "part"]), "repeated-fingerprints")
+                    .join(for_each_part(counts.select("fp"), often), ["fp", "part"]).drop("part"), "repeated-fingerprints")
     origins = (places.groupBy("fp").agg(F.min(F.struct(*_DOCUMENT, "at")).alias("first"))
                .select("fp", "first.*"))
     around = surroundings(docs, origins, text_col, min_words)
     same = (F.col("doc_id") == F.col("first_id")) & (F.col("doc_hash") == F.col("first_hash"))
     # Within one document a match is not extended into its own first occurrence.
     room = F.when(same, F.col("at") - F.col("first_at") - F.lit(min_words)).otherwise(F.lit(WINDOW - 1)).cast("int")
-    return (places.join(for_each_part(around, often), ["fp", "part"]).withColumn("room", room).filter("room >= 0")
+    # Few words around frequent fingerprints are sent to all places; the others keep their partitioning by fingerprint.
+    matches = (places.join(often, "fp", "left_anti").join(around, "fp")
+               .unionByName(places.join(F.broadcast(around.join(often, "fp", "left_semi")), "fp")))
+    return (matches.withColumn("room", room).filter("room >= 0")
             .groupBy(*_DOCUMENT).agg(F.collect_list(F.struct("at", "room", "before", "after")).alias("_matches")))
 
 
