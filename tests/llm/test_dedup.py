@@ -13,9 +13,6 @@ sys.path.insert(0, os.path.dirname(__file__))
 from helpers import awkward_rows, clashing, collected, docs  # noqa: E402
 
 from corpus_pipeline import STAGES  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
-
-from loomledger.llm import line_dedup  # noqa: E402
 from loomledger.llm.exact_dedup import exact_duplicates, tree_merge  # noqa: E402
 from loomledger.llm.line_dedup import delete_repeated_lines  # noqa: E402
 from loomledger.llm.queries import ORACLE_SQL, QUERIES  # noqa: E402
@@ -199,21 +196,6 @@ def test_line_dedup_finds_a_passage_inside_two_different_lines(spark, size):
     gone = [w for w in second if w not in left]
     assert 10 <= len(gone) and set(gone) <= set(passage) and left == [w for w in second if w in left]
 
-def test_a_frequent_fingerprint_is_dealt_into_parts(spark):
-    """A line in every document: its places bear many parts, and each part meets its first occurrence once."""
-    places = spark.range(0, 900).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") + 100).alias("fp"), F.col("id").alias("doc_id"),
-        F.lit(0).cast("long").alias("doc_hash"), F.lit(0).alias("at"))
-    counts = places.groupBy("fp").count()
-    often = line_dedup.frequent(spark.createDataFrame([(7, 300), (8, 2)] + [(100 + n, 300) for n in range(2000)], "fp long, count long"))
-    assert often.count() == 0
-    often = line_dedup.frequent(counts.filter("count > 1"))
-    spread = line_dedup.dealt(places, often)
-    assert spread.filter("fp = 7").select("part").distinct().count() > line_dedup.PARTS // 2
-    assert spread.filter("fp <> 7 and part <> 0").count() == 0
-    joined = spread.join(line_dedup.for_each_part(counts.select("fp"), often), ["fp", "part"])
-    assert joined.count() == 900
-
 
 def test_line_dedup_of_an_empty_table(spark):
     assert delete_repeated_lines(docs(spark, [])).collect() == []
