@@ -2,8 +2,9 @@
 
 import re
 
+from loomledger.plans.colocated import BucketedStar
 from loomledger.plans.entities import ENTITIES
-from loomledger.sources import envelope
+from loomledger.sources import envelope, tables
 from loomledger.testbed import landing as ld
 
 
@@ -37,3 +38,19 @@ def test_dealt_events_are_landed_once_beside_other_entities(spark, sf_dir, tmp_p
         envelope.write_raw_events(ld.packed_events(spark, sf_dir, "invoices", by_day=True), str(tmp_path), entity)
     held = envelope.read_raw_events(spark, str(tmp_path), entity)
     assert held.exceptAll(events).isEmpty() and events.exceptAll(held).isEmpty()
+
+
+def test_only_the_models_that_a_job_reads_are_written(spark, sf_dir, tmp_path):
+    whole = ld.warehouse(spark, sf_dir)
+    built = tables.build(whole, str(tmp_path), models=["fct_fx_transactions"])
+    assert [str(path.relative_to(tmp_path)) for path in tmp_path.glob("*/*")] == ["marts/fct_fx_transactions"]
+    held, expected = built.fct_fx_transactions(), whole.fct_fx_transactions()
+    assert held.exceptAll(expected).isEmpty() and expected.exceptAll(held).isEmpty()
+    assert tables.build(built, str(tmp_path / "more"), models=["dim_customers"]).tables.keys() == {"fct_fx_transactions", "dim_customers"}
+
+
+def test_buckets_of_parents_wait_for_a_fact_that_needs_them(spark, sf_dir, tmp_path):
+    staged = ENTITIES["fx_transactions"].table
+    star = BucketedStar(tables.build(ld.warehouse(spark, sf_dir), str(tmp_path / "built"), models=[staged]), str(tmp_path / "star"), 4)
+    assert star.fct_fx_transactions().count() == ld.warehouse(spark, sf_dir).fct_fx_transactions().count()
+    assert not any(path.name.startswith("facilities") for path in (tmp_path / "star").iterdir())
