@@ -32,6 +32,8 @@ CAPACITY = 2048
 END_ID = 1
 #: Sequences of one partition are numbered from its number times two to this power.
 SEQUENCE_BITS = 40
+#: Rows of a batch that are text in Python at once: a worker's memory.
+SLICE = 256
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "sequence_length long")
 
@@ -101,8 +103,8 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             return pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in zip(*rows, strict=True)], names)
 
         for batch in batches:
-            for low in range(0, batch.num_rows, 2000):
-                part = batch.slice(low, 2000)
+            for low in range(0, batch.num_rows, SLICE):
+                part = batch.slice(low, SLICE)
                 rows: list[tuple] = []
                 ids = part.column("doc_id").to_pylist()
                 for doc_id, tokens in zip(ids, encoder.encode(part.column("text").to_pylist()), strict=True):

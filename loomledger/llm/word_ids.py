@@ -21,8 +21,9 @@ from loomledger.llm.tokenizers_io import load_tokenizer, load_vocabulary, token_
 
 WORD_END = "</w>"
 END_BYTE = b"\xff"  # never part of UTF-8
-MEMO = 1_000_000
-STREAM = 1_000_000
+#: Pieces that a worker remembers and characters that it encodes at once: both bound its memory.
+MEMO = 300_000
+STREAM = 200_000
 LONG = 200
 # Kinds of code points: white space, and in plain words letters, digits, others. ODD ones make their word odd.
 WHITE, LETTER, DIGIT, OTHER, ODD = range(5)

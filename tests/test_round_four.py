@@ -1,7 +1,10 @@
 """Landing without a shuffle of JSON, marts written alone, memory of packing's workers."""
 
 import re
+import tracemalloc
 
+from loomledger.llm.tokenizers_io import vocabulary_path
+from loomledger.llm.word_ids import WordEncoder
 from loomledger.plans.colocated import BucketedStar
 from loomledger.plans.entities import ENTITIES
 from loomledger.sources import envelope, tables
@@ -54,3 +57,15 @@ def test_buckets_of_parents_wait_for_a_fact_that_needs_them(spark, sf_dir, tmp_p
     star = BucketedStar(tables.build(ld.warehouse(spark, sf_dir), str(tmp_path / "built"), models=[staged]), str(tmp_path / "star"), 4)
     assert star.fct_fx_transactions().count() == ld.warehouse(spark, sf_dir).fct_fx_transactions().count()
     assert not any(path.name.startswith("facilities") for path in (tmp_path / "star").iterdir())
+
+
+def test_encoding_holds_little_beside_the_ids():
+    encoder = WordEncoder(vocabulary_path("word_bpe_49k.json", None))
+    texts = [f"alpha beta gamma{n % 7} x-ray " * 250 for n in range(400)]
+    assert sum(map(len, texts)) > 2_000_000
+    encoder.encode(texts[:7])
+    tracemalloc.start()
+    encoder.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32_000_000
