@@ -11,6 +11,7 @@ from loomledger.generate import entities as g
 from loomledger.generate.dirt import generate
 from loomledger.llm.suffix_tree import DEPTH, kept_contexts, string_counts
 from loomledger.plans.entities import ENTITIES
+from loomledger.plans.incremental import StagingState
 from loomledger.sources.envelope import DAY_COLUMNS, read_raw_events, write_raw_events
 from loomledger.sources.tables import materialise
 from loomledger.testbed import landing as ld
@@ -69,3 +70,9 @@ def test_every_context_that_gains_enough_is_kept(spark):
     certain = {int.from_bytes(c.encode(), "big") for c in gaining}
     assert sum(len(frame["context"].unique()) for frame in kept) > 60_000
     assert len(certain) > 30_000 and certain <= found
+
+
+def test_merged_state_is_written_small(spark, sf_dir, tmp_path):
+    state = StagingState(spark, str(tmp_path), ENTITIES["invoices"], n_buckets=2)
+    state.merge(ld.raw_events(spark, sf_dir, "invoices"))
+    assert codecs(tmp_path) == {"ZSTD"}
