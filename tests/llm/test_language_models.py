@@ -8,6 +8,7 @@ import sys
 from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -316,3 +317,24 @@ def test_pipeline_of_awkward_rows(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
     docs(spark, []).write.parquet(str(tmp_path / "none" / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_building_the_automaton_takes_little_more_memory_than_its_tables():
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    bytes_ = np.arange(32, 126)
+    contexts = np.unique(rng.choice(bytes_, 12_000) << 16 | rng.choice(bytes_, 12_000) << 8 | rng.choice(bytes_, 12_000))
+    level = pd.DataFrame({"context": np.repeat(contexts, 3), "symbol": np.tile([40, 60, 90], len(contexts)), "n": 5})
+    empty = level.head(0)
+    kept = [pd.DataFrame({"context": 0, "symbol": bytes_, "n": 7}), empty, empty, level, empty, empty]
+    tracemalloc.start()
+    automaton = SuffixAutomaton.build(kept)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(automaton.scores) == 1 + len(contexts)
+    assert peak < 2.5 * 8 * automaton.scores.size
+    counted = np.full(len(bytes_) + 1, 0.0)
+    counted[automaton.classes[[40, 60, 90]]] = 5
+    expected = (counted + 9 * 10 ** automaton.scores[0]) / (15 + 9)
+    assert np.allclose(10 ** automaton.scores[5][:-1], expected[:-1], rtol=1e-5)
