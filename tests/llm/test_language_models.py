@@ -242,6 +242,26 @@ def test_thresholds_are_those_of_all_trusted_rows_outside_the_training(spark):
     assert len(outside) > 60
 
 
+def test_quality_trains_on_two_thirds_of_all_trusted_rows_with_a_model_of_any_size(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 30, rng.integers(0, 9))) for _ in range(4000)]
+    rows = spark.createDataFrame([(i, t, "en" if i % 3 else None) for i, t in enumerate(texts)] + [(7, "w1 unseen", "en"), (None, None, "en")],
+                                 "doc_id long, text string, lang string").repartition(3)
+    labels = rows.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    judged = quality(rows, labels).collect()
+    back = {r.doc_id for r in labels.filter(F.pmod(F.xxhash64(F.lit(3), F.col("doc_id")), F.lit(3)) == 0).collect()}
+    for lang in ("en", None):
+        held = [r.perplexity for r in judged if r.lang == lang and r.doc_id is not None and r.doc_id in back]
+        assert list({r.threshold for r in judged if r.lang == lang}) == [pytest.approx(1.25 * np.quantile(held, 0.99), rel=1e-9)]
+    monkeypatch.setattr("loomledger.llm.quality.HELD_GRAMS", 0)
+    by_shards = quality(rows, labels).collect()
+    order = lambda r: (r.doc_id is None, r.doc_id, r.n_tokens)
+    for a, b in zip(sorted(judged, key=order), sorted(by_shards, key=order), strict=True):
+        assert (a.doc_id, a.lang, a.n_tokens) == (b.doc_id, b.lang, b.n_tokens)
+        assert b.perplexity == pytest.approx(a.perplexity, rel=1e-9)
+        assert b.threshold == pytest.approx(a.threshold, rel=1e-9)
+
+
 def test_quantiles_equal_those_of_numpy(spark):
     rng = np.random.default_rng(5)
     rows = [("a", float(x)) for x in np.exp(rng.normal(5, 1, 999))] + [("b", 7.5)] * 40 + [("b", 9.0)] * 3 + [("c", 3.0)] + [("d", 1.0), ("d", 2.0)]
