@@ -9,7 +9,8 @@ from loomledger.generate import entities as g
 from loomledger.generate.dirt import generate
 from loomledger.plans.entities import ENTITIES
 from loomledger.session import COMPILED_BYTES, HUGE_METHOD, compiled_methods
-from loomledger.sources.envelope import write_raw_events
+from loomledger.sources.envelope import DAY_COLUMNS, write_raw_events
+from loomledger.testbed import landing as ld
 
 
 def test_landing_packs_wide_rows_in_methods_that_are_compiled(spark, tmp_path, monkeypatch):
@@ -40,3 +41,25 @@ def test_draws_are_those_of_the_decimal_text(spark):
     rows = spark.range(500).select(draws.uniform("x").alias("now"), text.alias("text"))
     assert rows.filter(~F.col("now").eqNullSafe(F.col("text"))).isEmpty()
     assert rows.filter((F.col("now") < 0) | (F.col("now") >= 1)).isEmpty()
+
+
+def stored_in_many_files(spark, sf_dir, folder):
+    spark.read.parquet(f"{sf_dir}/lineitem.parquet").repartition(24).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["drawdowns", "repayments"])
+def test_rows_of_a_table_in_many_splits_are_landed_where_they_lie(spark, sf_dir, tmp_path, name):
+    tables = stored_in_many_files(spark, sf_dir, tmp_path / "tables")
+    events = ld.packed_events(spark, tables, name, by_day=True, in_place=True)
+    assert "Exchange" not in events._jdf.queryExecution().executedPlan().toString()
+    plain = ld.packed_events(spark, tables, name)
+    assert events.columns == [*plain.columns, *DAY_COLUMNS]
+    landed = ld.raw_events(spark, tables, name)
+    assert landed.count() == plain.count() > 0
+    assert landed.exceptAll(plain).isEmpty() and plain.exceptAll(landed).isEmpty()
+
+
+def test_rows_of_a_table_in_few_splits_are_still_dealt(spark, sf_dir):
+    events = ld.packed_events(spark, sf_dir, "drawdowns", by_day=True, in_place=True)
+    assert "Exchange" in events._jdf.queryExecution().executedPlan().toString()
